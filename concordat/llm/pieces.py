@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+import sys
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -25,7 +27,7 @@ class PieceCodec:
     surviving paths go through one boundary, the ids before it are final and leave the window.
     """
 
-    def __init__(self, model: bytes, cache: int = 1 << 18):
+    def __init__(self, model: bytes, cache: int = 1 << 19):
         from sentencepiece import SentencePieceProcessor
 
         sp = SentencePieceProcessor(model_proto=model)
@@ -127,6 +129,14 @@ class PieceCodec:
         return b"".join(map(self.bytes.__getitem__, ids))[1:].decode("utf-8", "replace")
 
 
+def codec_of(model: bytes) -> PieceCodec:
+    """One codec a process for each model: a reused Python worker keeps what its codec has learnt of words."""
+    key = "_piece_codec_" + hashlib.sha256(model).hexdigest()
+    if key not in sys.modules:
+        sys.modules[key] = PieceCodec(model)
+    return sys.modules[key]
+
+
 def encode(docs: DataFrame, model_path: str, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` (all by default) plus a struct `pieces`: ids, n_ids, exact (decoding gives the text back).
 
@@ -144,7 +154,7 @@ def encode(docs: DataFrame, model_path: str, *, text: str = "text", keep: list[s
     schema = StructType([*(docs.schema[c] for c in names), *StructType.fromDDL("pieces struct<ids:array<int>,n_ids:bigint,exact:boolean>").fields])
 
     def run(parts):
-        codec = PieceCodec(model)
+        codec = codec_of(model)
         for part in parts:
             column = part.column(part.schema.get_field_index(text))
             for start, texts in batches(column):
@@ -170,7 +180,7 @@ def decode(rows: DataFrame, model_path: str, *, ids: str = "ids", to: str = "tex
     schema = StructType(rows.schema.fields).add(to, "string")
 
     def run(parts):
-        codec = PieceCodec(model)
+        codec = codec_of(model)
         for part in parts:
             texts = [None if x is None else codec.decode(x) for x in part.column(part.schema.get_field_index(ids)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, to])
