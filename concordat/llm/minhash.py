@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, cut, is_empty
+from .shared import components, cut
 from .toxicity import batches
 
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -164,20 +164,114 @@ def _exact(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
     return both.mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def near_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", width: int = 5, percent: int = 80, miss: float = 1e-6, pivots: int = 4) -> DataFrame:
+def _overlaps(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Size of the intersection of sets[a] and sets[b] for each pair of positions."""
+    if not len(a):
+        return np.empty(0, int)
+    used = np.unique(np.concatenate([a, b]))
+    values, which = np.concatenate([sets[i] for i in used]), np.repeat(used, [len(sets[i]) for i in used])
+    order = np.argsort(values, kind="stable")
+    values, which = values[order], which[order]
+    run = np.cumsum(np.concatenate([[True], values[1:] != values[:-1]])) - 1
+    shared = np.bincount(run)[run] > 1
+    run, which = np.unique(run[shared], return_inverse=True)[1], which[shared]
+    width = int(run.max()) + 1 if len(run) else 0
+    if len(a) * 3e-5 < width * float(len(used)) ** 2 * 1e-10:
+        return np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(a, b)])
+    place = np.zeros(len(sets), int)
+    place[used] = np.arange(len(used))
+    total = np.zeros((len(used), len(used)), np.float32)
+    for first in range(0, width, 4096):  # shared shingles, some columns at a time
+        inside = (run >= first) & (run < first + 4096)
+        x = np.zeros((len(used), min(4096, width - first)), np.float32)
+        x[place[which[inside]], run[inside] - first] = 1
+        total += x @ x.T
+    return total[place[a], place[b]].astype(int)
+
+
+def _block_links(p, width: int, percent: int, miss: float, same: bool):
+    """Links between the two sides of a block of one family, of pairs in different components that share a band."""
+    from .cells import _spanning
+
+    sides = p["side"].to_numpy()
+    a, b = (np.arange(len(p)),) * 2 if same else (np.flatnonzero(sides == 0), np.flatnonzero(sides == 1))
+    c, n = p["c"].to_numpy(), p["n"].to_numpy()
+    sig = np.frombuffer(b"".join(p["sig"]), np.uint8).reshape(-1, HASHES)
+    bands = np.stack(p["bands"].tolist())
+    need = needed_matches(percent / 100, miss)
+    step = HASHES // len(need)
+    left, right = [], []
+    for i in a:
+        o = b[b > i] if same else b
+        o = o[(c[o] != c[i]) & (100 * np.minimum(n[o], n[i]) >= percent * np.maximum(n[o], n[i]))]
+        o = o[(bands[o] == bands[i]).any(1)]
+        matches = np.zeros(len(o), int)
+        for k, least in enumerate(need):
+            s = slice(k * step, (k + 1) * step)
+            matches = matches + (sig[o, s] == sig[i, s]).sum(1)
+            o, matches = o[matches >= least], matches[matches >= least]
+        left.append(np.full(len(o), i))
+        right.append(o)
+    left, right = (np.concatenate(x).astype(int) if x else np.empty(0, int) for x in (left, right))
+    sets: list = [None] * len(p)
+    texts = p["t"].to_numpy()
+    for i in np.unique(np.concatenate([left, right])):
+        sets[i] = shingles(texts[i], width)
+    common = _overlaps(sets, left, right)
+    good = 100 * common >= percent * (n[left] + n[right] - common)
+    group = _spanning(len(p), left[good], right[good])
+    linked = np.flatnonzero(group != np.arange(len(p)))
+    ids = p["id"].to_numpy()
+    return ids[linked], ids[group[linked]]
+
+
+def _within_families(families: DataFrame, groups: DataFrame, reps: DataFrame, texts: DataFrame, width: int, percent: int, miss: float, block_rows: int) -> DataFrame:
+    """Links between members of a family that aren't in one component yet.
+
+    In each family with several components, members outside its largest one meet all members, in blocks: a family of
+    any size is dealt over many tasks, its texts are sent once a block, and no pairs are listed.
+    """
+    import pandas as pd
+
+    kind = families.schema["id"].dataType.simpleString()
+    f = families.join(groups.withColumnRenamed("node", "id"), "id", "left").select("family", "id", F.coalesce("component", "id").alias("c"))
+    f = cut(f)
+    counts = f.groupBy("family", "c").agg(F.count("*").alias("k"))
+    sizes = counts.groupBy("family").agg(F.max(F.struct("k", "c")).alias("top"), F.sum("k").alias("all"), F.count("*").alias("parts")).where("parts > 1")
+    sizes = sizes.select("family", F.col("top.c").alias("top"), F.ceil((F.col("all") - F.col("top.k")) / block_rows).cast("int").alias("ns"), F.ceil(F.col("top.k") / block_rows).cast("int").alias("nm"))
+    f = f.join(sizes, "family")
+    rest = F.col("c") != F.col("top")
+    f = f.withColumn("own", F.pmod(F.xxhash64("id"), F.when(rest, F.col("ns")).otherwise(F.col("nm"))).cast("int"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    place = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
+    own = F.col("own")
+    others = F.transform(upto(F.col("ns")), lambda j: place(F.least(own, j), F.greatest(own, j), own > j))
+    home = F.transform(upto(F.col("nm")), lambda m: place(own, -1 - m, F.lit(0)))
+    guest = F.transform(upto(F.col("ns")), lambda i: place(i, -1 - own, F.lit(1)))
+    f = f.withColumn("at", F.explode(F.when(rest, F.concat(others, home)).otherwise(guest))).select("family", "id", "c", "at.*")
+    ready = reps.join(f.select("id").distinct(), "id", "left_semi").join(texts, "id")
+    ready = ready.groupBy("id").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.min("t").alias("t"))
+
+    def block(name: tuple, p: pd.DataFrame) -> pd.DataFrame:
+        a, b = _block_links(p, width, percent, miss, name[1] == name[2])
+        return pd.DataFrame({"a": a, "b": b}).astype({"a": p["id"].dtype, "b": p["id"].dtype})
+
+    return f.join(ready, "id").groupBy("family", "i", "j").applyInPandas(block, f"a {kind}, b {kind}")
+
+
+def near_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", width: int = 5, percent: int = 80, miss: float = 1e-6, block_rows: int = 256) -> DataFrame:
     """Per row: key, n_shingles, component_id, kept.
 
     Words are runs of other characters than ASCII blanks, A-Z lowered; a text's set holds its distinct shingles of
     `width` words (of all its words, if fewer). Texts link if 100 * intersection >= percent * union.
 
     Equal sets form a class, of which one text goes on. Signatures of 128 values are banded so that a pair at the
-    threshold shares a bucket but with probability `miss`. A bucket is not expanded into all pairs: each member is
-    compared with a pivot of the bucket. Signatures are compared in batches, and a pair is pruned once the posterior
-    probability of a similarity over the threshold is under `miss`; survivors are confirmed on whole sets. Links are
-    merged into components; then in buckets that still hold several components, further members become pivots (of
-    `pivots` parts the members with the smallest and largest component) and meet all members of other components,
-    and leave. It ends when no bucket holds two components that weren't compared, so no link is lost that could
-    change a component.
+    threshold shares a bucket but with probability `miss`. Each member of a bucket is compared with the bucket's
+    smallest: signatures in batches, and a pair is pruned once the posterior probability of a similarity over the
+    threshold is under `miss`; survivors are confirmed on whole sets and their links merged into components. Members
+    of shared buckets form families; in families that still hold several components, members outside the largest
+    meet the others in blocks, by the same steps. So every candidate pair is compared, or is in one component
+    already, and no list of all pairs of a group is made.
 
     Texts without words, null texts and rows with a null key link with nothing (n_shingles of the former is 0; the
     component of a row is its key; a null key is kept). Rows that share a key are one node. Long texts are handled
@@ -189,37 +283,20 @@ def near_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", widt
     usable = info.where("id is not null and n > 0")
     classes = usable.groupBy("set").agg(F.min("id").alias("rep"))
     reps = cut(usable.join(classes, (usable["set"] == classes["set"]) & (usable["id"] == classes["rep"])).groupBy("id").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")))
-    members = reps.select("id", "n", F.explode("bands").alias("band"))
+    members = reps.select("id", F.explode("bands").alias("band"))
     firsts = members.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot <> last").drop("last")
-    members = cut(members.join(firsts, "band").where("id <> pivot"))
-    near = lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    stars = cut(members.join(firsts, "band").where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct())
     size = lambda x: reps.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}"))
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.distinct().join(size("a"), "a").join(size("b"), "b").where(near(F.col("n_a"), F.col("n_b")))
-        pairs = cut(_bayes(pairs, percent / 100, miss))
-        ids = pairs.select("a").union(pairs.select("b")).distinct().select(F.col("a").alias("id"))
-        texts = plain.where("t is not null").join(ids, "id", "left_semi")
-        return _exact(pairs, texts, width, percent)
-
-    links = cut(confirmed(members.select(F.col("pivot").alias("a"), F.col("id").alias("b"))))
-    members = members.select("band", "id")
+    pairs = stars.join(size("a"), "a").join(size("b"), "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    pairs = cut(_bayes(pairs, percent / 100, miss))
+    ids = pairs.select("a").union(pairs.select("b")).distinct().select(F.col("a").alias("id"))
+    texts = plain.where("t is not null").join(ids, "id", "left_semi")
+    links = cut(_exact(pairs, texts, width, percent))
+    families = components(stars).select(F.col("component").alias("family"), F.col("node").alias("id"))
     groups = components(links)
-    while True:
-        known = members.join(groups.withColumnRenamed("node", "id"), "id", "left").select("band", "id", F.coalesce("component", "id").alias("c"))
-        mixed_ = known.groupBy("band").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("band")
-        known = cut(known.join(mixed_, "band"))
-        if is_empty(known):
-            break
-        part = F.pmod(F.xxhash64("id"), F.lit(pivots))
-        chosen = known.groupBy("band", part.alias("part")).agg(F.min(F.struct("c", "id")).alias("x"), F.max(F.struct("c", "id")).alias("y"))
-        chosen = cut(chosen.select("band", F.explode(F.array_distinct(F.array("x", "y"))).alias("p")).select("band", F.col("p.c").alias("pc"), F.col("p.id").alias("pivot")))
-        pairs = known.join(chosen, "band").where("c <> pc").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-        more = cut(confirmed(pairs))
-        members = known.join(chosen.select("band", F.col("pivot").alias("id")), ["band", "id"], "left_anti").select("band", "id")
-        if not is_empty(more):
-            links = links.union(more)
-            groups = components(links)
+    texts = plain.where("t is not null").join(families, "id", "left_semi")
+    more = cut(_within_families(families, groups, reps, texts, width, percent, miss, block_rows))
+    groups = components(links.union(more))
     node = info.select("id", "n", "set").join(classes, "set", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "rep")).otherwise(F.col("id"))
     component = F.when(F.col("id").isNotNull(), F.coalesce(component, "id"))
