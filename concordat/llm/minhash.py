@@ -189,7 +189,7 @@ def _overlaps(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarra
     return total[place[a], place[b]].astype(int)
 
 
-def _block_links(p, width: int, percent: int, miss: float, same: bool):
+def _block_links(p, width: int, percent: int, need: list[int], same: bool):
     """Links between the two sides of a block of one family, of pairs in different components that share a band."""
     from .cells import _spanning
 
@@ -198,7 +198,6 @@ def _block_links(p, width: int, percent: int, miss: float, same: bool):
     c, n = p["c"].to_numpy(), p["n"].to_numpy()
     sig = np.frombuffer(b"".join(p["sig"]), np.uint8).reshape(-1, HASHES)
     bands = np.stack(p["bands"].tolist())
-    need = needed_matches(percent / 100, miss)
     step = HASHES // len(need)
     left, right = [], []
     for i in a:
@@ -252,8 +251,10 @@ def _within_families(families: DataFrame, groups: DataFrame, reps: DataFrame, te
     ready = reps.join(f.select("id").distinct(), "id", "left_semi").join(texts, "id")
     ready = ready.groupBy("id").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.min("t").alias("t"))
 
+    need = needed_matches(percent / 100, miss)
+
     def block(name: tuple, p: pd.DataFrame) -> pd.DataFrame:
-        a, b = _block_links(p, width, percent, miss, name[1] == name[2])
+        a, b = _block_links(p, width, percent, need, name[1] == name[2])
         return pd.DataFrame({"a": a, "b": b}).astype({"a": p["id"].dtype, "b": p["id"].dtype})
 
     return f.join(ready, "id").groupBy("family", "i", "j").applyInPandas(block, f"a {kind}, b {kind}")
