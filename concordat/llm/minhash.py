@@ -290,12 +290,10 @@ def near_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", widt
     size = lambda x: reps.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}"))
     pairs = stars.join(size("a"), "a").join(size("b"), "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     pairs = cut(_bayes(pairs, percent / 100, miss))
-    ids = pairs.select("a").union(pairs.select("b")).distinct().select(F.col("a").alias("id"))
-    texts = plain.where("t is not null").join(ids, "id", "left_semi")
+    families = cut(components(stars).select(F.col("component").alias("family"), F.col("node").alias("id")))
+    texts = cut(plain.where("t is not null").join(families, "id", "left_semi"))
     links = cut(_exact(pairs, texts, width, percent))
-    families = components(stars).select(F.col("component").alias("family"), F.col("node").alias("id"))
     groups = components(links)
-    texts = plain.where("t is not null").join(families, "id", "left_semi")
     more = cut(_within_families(families, groups, reps, texts, width, percent, miss, block_rows))
     groups = components(links.union(more))
     node = info.select("id", "n", "set").join(classes, "set", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
