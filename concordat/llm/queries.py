@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cells, licences, lines, minhash, mixing, pieces, quality, shared, topk, toxicity
+from . import cells, licences, lines, minhash, mixing, pieces, quality, shared, suffixes, topk, toxicity
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
@@ -32,6 +32,11 @@ def op3_minhash(spark, sf_dir):
     return minhash.near_dedup(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op4_suffixes(spark, sf_dir):
+    out = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "repeats.n_bytes", "repeats.n_removed", F.size("repeats.spans").cast("long").alias("n_spans"), F.sha2("repeats.kept", 256).alias("kept_sha256"))
+
+
 def op5_lines(spark, sf_dir):
     out = lines.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("dedup.text").alias("text"), "dedup.n_lines", "dedup.n_removed")
@@ -71,4 +76,4 @@ def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_topk, op3_minhash, op5_lines, op6_quality, op7_mixing, op8_licences, op9_pieces, op10_cells, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_topk, op3_minhash, op4_suffixes, op5_lines, op6_quality, op7_mixing, op8_licences, op9_pieces, op10_cells, pipeline)}
