@@ -17,10 +17,14 @@ def word_ngrams(text: Column, most: int = 2) -> Column:
     parts = [w]
     for n in range(2, most + 1):
         starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - n + 1)).otherwise(F.array().cast("array<int>"))
-        parts.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(w, i, F.lit(n)), " ")))
+        parts.append(F.transform(starts, _run(w, n)))
     return F.concat(*parts)
 
 
+def _run(w: Column, n: int):
+    return lambda i: F.array_join(F.slice(w, i, F.lit(n)), " ")
+
+
 def char_ngrams(text: Column, least: int = 3, most: int = 5) -> Column:
     """N-grams of each word between spaces; a word shorter than n gives itself once."""
     padded = F.transform(F.filter(F.split(text, " "), lambda w: w != ""), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
@@ -38,9 +42,7 @@ def postings(docs: DataFrame, by: list[str], doc: str, terms: Column) -> DataFra
 def smooth_idf(post: DataFrame, docs: DataFrame, by: list[str], *, min_df: int = 1, max_df: float = 1.0) -> DataFrame:
     """ln((1 + n) / (1 + df)) + 1 per pool and term. Pools are counted, not collected."""
     df = post.groupBy(*by, "term").agg(F.count("*").alias("df"))
-    n = docs.groupBy(*by).agg(F.count("*").alias("n_docs")) if by else docs.agg(F.count("*").alias("n_docs"))
-    # Without pools the count is a single row.
-    both = df.join(n, by) if by else df.join(F.broadcast(n))
+    both = df.join(docs.groupBy(*by).agg(F.count("*").alias("n_docs")), by) if by else df.withColumn("n_docs", F.lit(docs.count()))
     both = both.where((F.col("df") >= min_df) & (F.col("df") <= max_df * F.col("n_docs")))
     return both.select(*by, "term", (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf"))
 
@@ -90,7 +92,7 @@ def pad_pool(pool: DataFrame, everything: DataFrame, *, query_id: str, doc_id: s
     """Queries with fewer than `least` candidates get more of their block, in the order of a hash of seed and id."""
     n = pool.groupBy(query_id).agg(F.count("*").alias("_n"))
     rest = everything.join(pool, [query_id, doc_id], "left_anti").join(n, query_id, "left").where(F.coalesce("_n", F.lit(0)) < least)
-    order = F.xxhash64(F.lit(seed), F.col(query_id).cast("string"), F.col(doc_id).cast("string"))
+    order = F.md5(F.concat_ws("|", F.lit(seed), F.col(query_id).cast("string"), F.col(doc_id).cast("string")).cast("binary"))
     rest = ranked(rest.withColumn("_h", order), [query_id], ["_h", doc_id], "_r").where(F.col("_r") <= least - F.coalesce("_n", F.lit(0)))
     return pool.select(query_id, doc_id).unionByName(rest.select(query_id, doc_id))
 

@@ -1,4 +1,618 @@
-"""The query catalogue."""
+"""The query catalogue: every operator on the supplied tables, over whole tables."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import codes as C
+from ..functions import similarity as S
+from ..functions import text as T
+from ..operators import blocking as B
+from ..operators import curation as K
+from ..operators import evaluation as E
+from ..operators import retrieval as R
+from ..operators import sampling as M
+from ..operators import scoring as P
+from .oracle import SQL  # noqa: F401
 
 QUERIES: dict = {}
-SQL: dict = {}
+col, lit = F.col, F.lit
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def r6(c):
+    return F.round(c, 6)
+
+
+# Text, codes, names
+
+
+@query
+def text_normalize(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.md5(T.normalize_text(col("text")).cast("binary")).alias("norm_md5"), F.length(T.normalize_text(col("text"))).cast("long").alias("norm_length"))
+
+
+@query
+def name_normalize_legal(spark, d):
+    c = table(spark, d, "customer").select(col("c_custkey").alias("id"), F.concat(lit("SARL "), col("c_name"), lit(" SAS")).alias("raw"))
+    s = table(spark, d, "supplier").select((-col("s_suppkey")).alias("id"), F.concat(col("s_name"), lit("-École  S.A.")).alias("raw"))
+    return c.unionByName(s).select("id", T.normalize_name(col("raw")).alias("name"), T.truncate_name(F.concat_ws(" ", "raw", "raw"), 20).alias("short_name"))
+
+
+@query
+def tfidf_text_normalize(spark, d):
+    p = table(spark, d, "part").select(col("p_partkey").alias("id"), F.concat(col("p_name"), lit(" j.n.c. travaux"), col("p_type")).alias("raw"))
+    b = table(spark, d, "benchmark").select((-col("item_id") - 1).alias("id"), col("text").alias("raw"))
+    return p.unionByName(b).select("id", T.normalize_for_tfidf(col("raw")).alias("terms"))
+
+
+@query
+def embedding_text_normalize(spark, d):
+    p = table(spark, d, "part").select(col("p_partkey").alias("id"), F.concat(F.replace(F.initcap("p_name"), lit(" "), lit("")), col("p_brand"), lit("SNCFGare15Pro")).alias("raw"))
+    return p.select("id", T.embedding_text(col("raw")).alias("embedding_text"))
+
+
+@query
+def code_normalize(spark, d):
+    c = table(spark, d, "customer")
+    code = C.pad(C.normalize_code(F.concat((col("c_custkey") * 61).cast("string"), lit(".0"))), 5)
+    return c.select("c_custkey", code.alias("code"), C.department(code).alias("department"), C.department_of_postcode(code).alias("postcode_department"), C.legal_code(F.concat(col("c_nationkey").cast("string"), lit(".0"))).alias("legal_code"))
+
+
+@query
+def identifier_clean(spark, d):
+    o = table(spark, d, "orders")
+    raw = F.when(col("o_orderkey") % 3 == 0, F.concat(lit(" "), col("o_orderkey").cast("string"), lit(".0"))).when(col("o_orderkey") % 3 == 1, F.concat(col("o_orderkey").cast("string"), lit(" 123 456 789 00011"))).otherwise(F.concat(col("o_custkey").cast("string"), lit("-7")))
+    o = o.select("o_orderkey", raw.alias("raw"))
+    return o.select("o_orderkey", C.identifier(col("raw"), 14).alias("siret"), C.identifier(col("raw"), 9, strict=False).alias("siren"), C.siren_of(lit(None).cast("string"), C.identifier(col("raw"), 14)).alias("siren_of_siret"))
+
+
+@query
+def numeric_tokens(spark, d):
+    t = T.numeric_tokens(col("text"))
+    return table(spark, d, "documents").select("doc_id", F.size(t).cast("long").alias("n_numbers"), F.array_join(F.array_sort(t), ",").alias("numbers"))
+
+
+@query
+def address_parse(spark, d):
+    raw = F.concat(col("p_size").cast("string"), lit(" bis Rue "), col("p_type"), lit(", 6"), F.lpad((col("p_partkey") % 10000).cast("string"), 4, "0"), lit(" "), col("p_name"))
+    p = table(spark, d, "part").select("p_partkey", raw.alias("raw"))
+    a = T.parse_address(col("raw"))
+    return p.select("p_partkey", T.street_number(col("raw")).alias("number"), T.street_of_address(col("raw")).alias("street"), a["postcode"].alias("postcode"), a["city"].alias("city"), T.address_hash(T.street_number(col("raw")), T.street_of_address(F.regexp_replace("raw", ",.*", ""))).alias("address_hash"), T.split_address(col("raw"))["number"].alias("number_with_suffix"))
+
+
+@query
+def url_parse(spark, d):
+    u = col("url")
+    return table(spark, d, "pages").select("page_id", F.regexp_extract(u, r"^(\w+)://", 1).alias("scheme"), F.regexp_extract(u, r"^\w+://([^/:?#]+)", 1).alias("host"), F.regexp_extract(u, r"^\w+://[^/?#]*([^?#]*)", 1).alias("path"))
+
+
+@query
+def json_props(spark, d):
+    e = table(spark, d, "events")
+    return e.select("event_id", F.map_keys(F.from_json("props", "map<string,string>")).alias("k"), "props").select("event_id", F.array_join(F.array_sort("k"), ",").alias("fields"))
+
+
+@query
+def legal_category_map(spark, d):
+    code = F.concat(lit("5"), F.lpad((col("p_partkey") * 7 % 900).cast("string"), 3, "0"))
+    naf = F.concat(F.lpad((col("p_size") * 2).cast("string"), 2, "0"), lit(".22Z"))
+    return table(spark, d, "part").select("p_partkey", C.legal_category(code).alias("category"), C.naf_section(naf).alias("section"), F.size(C.arrondissements(F.when(col("p_size") == 1, "69123").otherwise("69001"))).cast("long").alias("n_arrondissements"))
+
+
+def _bags(spark, d):
+    p, s = table(spark, d, "part"), table(spark, d, "supplier")
+    j = p.join(s, (col("p_partkey") % 100 + 1) == col("s_suppkey"), "left")
+    fields = [(col("p_name"), "ETAB_ENSEIGNE"), (col("p_type"), "ETAB_DENOM"), (col("s_name"), "UL_DENOM"), (F.concat(lit("Jean "), col("p_brand")), "PERSON_NAME"), (F.substring("p_brand", 1, 2), "UL_SIGLE")]
+    return j.select("p_partkey", "p_brand", "p_size", K.bag_of_names(fields, col("p_size") % 2 == 0).alias("bag"))
+
+
+@query
+def bag_of_names(spark, d):
+    return _bags(spark, d).select("p_partkey", F.size("bag").cast("long").alias("n_names"), K.primary_name(col("bag")).alias("primary_name"), K.bag_text(col("bag")).alias("bag_text"))
+
+
+@query
+def person_name_flag(spark, d):
+    name = F.concat(F.when(col("c_custkey") % 2 == 0, "Jean-").otherwise("Acme "), F.translate("c_mktsegment", "0123456789", ""), F.when(col("c_custkey") % 5 == 0, " SARL").otherwise(""))
+    return table(spark, d, "customer").select("c_custkey", T.is_person_name(name).alias("is_person"))
+
+
+# Joins and blocking
+
+
+@query
+def left_join_enrich(spark, d):
+    c, n, r = (table(spark, d, x) for x in ("customer", "nation", "region"))
+    u = n.join(r, n.n_regionkey == r.r_regionkey, "left").select(col("n_nationkey").alias("c_nationkey"), "n_name", "r_name")
+    return K.enrich(c.select("c_custkey", "c_nationkey", "c_name"), u, "c_nationkey")
+
+
+@query
+def semi_join_scope(spark, d):
+    c = table(spark, d, "customer").where("c_acctbal > 0 and c_mktsegment is not null").select(col("c_custkey").alias("o_custkey"))
+    return K.in_scope(table(spark, d, "orders"), c, "o_custkey").select("o_orderkey", "o_custkey")
+
+
+@query
+def anti_join_missing(spark, d):
+    return table(spark, d, "customer").join(table(spark, d, "orders").select(col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey", "c_name")
+
+
+def _crm(spark, d):
+    return table(spark, d, "customer").select(col("c_custkey").alias("query_id"), col("c_nationkey").alias("q_insee"), (col("c_custkey") % 7).alias("q_cp"), T.normalize_name(col("c_name")).alias("q_name"))
+
+
+def _stock(spark, d):
+    return table(spark, d, "supplier").select(col("s_suppkey").alias("cand_id"), col("s_nationkey").alias("insee"), (col("s_suppkey") % 7).alias("cp"), T.normalize_name(col("s_name")).alias("name"))
+
+
+@query
+def blocking_join(spark, d):
+    j = _crm(spark, d).join(_stock(spark, d), col("q_insee") == col("insee"))
+    return j.groupBy("query_id").agg(F.count("*").alias("pool_size"), F.min("cand_id").alias("first_candidate"))
+
+
+@query
+def blocking_fallback(spark, d):
+    s = _stock(spark, d).where("insee % 3 <> 0")
+    out = B.block_with_fallback(_crm(spark, d), s, query_id="query_id", first=("q_insee", "insee"), second=("q_cp", "cp"))
+    return out.groupBy("query_id").agg(F.max("via").alias("via"), F.count("*").alias("pool_size"), F.sum("cand_id").alias("id_sum"))
+
+
+@query
+def location_or_union(spark, d):
+    out = B.block_either(_crm(spark, d), _stock(spark, d), [("q_insee", "insee"), ("q_cp", "cp")], query_id="query_id", candidate_id="cand_id")
+    return out.groupBy("query_id").agg(F.count("*").alias("pool_size"), F.sum("cand_id").alias("id_sum"))
+
+
+@query
+def mega_policy(spark, d):
+    li = table(spark, d, "lineitem").select((col("l_suppkey") % 25).alias("block"), (col("l_partkey") % 5).cast("long").alias("narrow"))
+    mean = F.avg("row_count").over(Window.partitionBy(lit(0)))  # one row a block
+    counts = B.manifest(li, "block", 0).withColumn("is_mega", col("row_count") >= mean)
+    q = table(spark, d, "supplier").select("s_suppkey", (col("s_suppkey") % 25).alias("block"), (col("s_suppkey") % 5).cast("long").alias("narrow"))
+    pre = li.groupBy("block", "narrow").agg(F.count("*").alias("n"))
+    return B.mega_policy(q, pre, counts, block="block", narrow="narrow").groupBy("s_suppkey").agg(F.sum("n").alias("pool_size"))
+
+
+@query
+def numeric_rescue_join(spark, d):
+    docs = table(spark, d, "documents")
+    return B.token_rescue(table(spark, d, "benchmark").withColumn("text", F.concat(col("text"), lit(" "), col("item_id").cast("string"))), docs, T.numeric_tokens(col("text")), T.numeric_tokens(col("text")), query_id="item_id", candidate_id="doc_id")
+
+
+@query
+def hash_rescue_join(spark, d):
+    p = table(spark, d, "part")
+    h = T.address_hash(col("p_size").cast("string"), F.concat(lit("Rue "), col("p_name")))
+    a = p.where("p_partkey % 2 = 0").select(col("p_partkey").alias("q"), "p_size", "p_name")
+    b = p.where("p_partkey % 2 = 1").select(col("p_partkey").alias("c"), col("p_size").alias("size2"), col("p_name").alias("name2"))
+    g = T.address_hash(col("size2").cast("string"), F.concat(lit("RUE "), col("name2")))
+    return B.hash_rescue(a, b, h, g).groupBy("q").agg(F.count("*").alias("n"), F.min("address_hash").alias("address_hash"))
+
+
+@query
+def sibling_bag(spark, d):
+    out = B.sibling_bag(table(spark, d, "part"), pool=["p_size"], entity="p_brand", name=T.normalize_text(col("p_name")))
+    return out.select("p_partkey", F.md5(col("names").cast("binary")).alias("names_md5"))
+
+
+@query
+def address_density(spark, d):
+    p = table(spark, d, "part").withColumn("addr", F.when(col("p_size") > 40, "").otherwise(T.normalize_text(col("p_name"))))
+    return B.address_density(p, by=["p_brand"], address="addr").select("p_partkey", "density")
+
+
+@query
+def category_filter_fallback(spark, d):
+    p = table(spark, d, "part").withColumn("category", C.legal_category(F.concat(lit("57"), F.lpad((col("p_partkey") % 90).cast("string"), 2, "0"))))
+    out = B.category_filter(p, query_id="p_brand", match=col("category") == "PRIVE", order=[F.desc("p_retailprice"), "p_partkey"], cap=20)
+    return out.select("p_brand", "p_partkey", "place")
+
+
+@query
+def siren_expansion(spark, d):
+    o = table(spark, d, "orders").select(col("o_custkey").alias("siren"), col("o_orderkey").alias("siret"), (col("o_orderkey") % 9).alias("insee"), (col("o_orderkey") % 4).alias("cp"), (col("o_orderstatus") == "F").cast("int").alias("closed"), "o_totalprice")
+    found = B.keep_first(o, ["siren"], ["siret"]).select(col("siren").alias("query_id"), "siren", "siret", col("insee").alias("q_insee"), col("cp").alias("q_cp"))
+    bucket = F.when(col("insee") == col("q_insee"), 0).when(col("cp") == col("q_cp"), 1).otherwise(2)
+    out = B.expand_entities(found, o, query_id="query_id", entity="siren", candidate_id="siret", bucket=bucket, order=["closed", F.desc("o_totalprice")], per_entity=10, cap=1500)
+    return out.select("query_id", "siret", "bucket", "rank")
+
+
+# Pair similarities
+
+
+def _pairs(spark, d):
+    j = _crm(spark, d).join(_stock(spark, d), col("q_insee") == col("insee")).select("query_id", "cand_id", "q_name", "name")
+    return S.with_jaro_winkler(j, "q_name", "name", "jw").withColumn("lev", S.levenshtein_ratio(col("q_name"), col("name")))
+
+
+def _scored(spark, d):
+    return _pairs(spark, d).withColumn("score", r6(P.heuristic(col("jw"), col("lev"))))
+
+
+def _top(spark, d, k=5):
+    return P.top_k(_scored(spark, d), query="query_id", candidate="cand_id", k=k)
+
+
+@query
+def pairwise_jw(spark, d):
+    return _pairs(spark, d).select("query_id", "cand_id", r6(col("jw")).alias("jw"))
+
+
+@query
+def pairwise_levenshtein(spark, d):
+    j = _crm(spark, d).join(_stock(spark, d), col("q_insee") == col("insee"))
+    return j.select("query_id", "cand_id", r6(S.levenshtein_ratio(col("q_name"), col("name"))).alias("lev"))
+
+
+def _part_pairs(spark, d, *more):
+    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_size", T.normalize_text(F.concat_ws(" ", "p_name", "p_type")).alias("n"))
+    q = p.select(col("p_partkey").alias("q"), "p_brand", "p_size", col("n").alias("qn"))
+    return q.join(p, ["p_brand", "p_size"]).where("q < p_partkey")
+
+
+@query
+def pairwise_jaccard(spark, d):
+    return _part_pairs(spark, d).select("q", "p_partkey", r6(S.jaccard(T.name_tokens(col("qn")), T.name_tokens(col("n")))).alias("jaccard"), r6(S.numeric_match(T.numeric_tokens(col("qn")), T.numeric_tokens(col("n")))).alias("numeric"), T.first_word_match(col("qn"), col("n")).alias("first_word"))
+
+
+@query
+def acronym_match(spark, d):
+    p = table(spark, d, "part").select("p_partkey", T.normalize_text(col("p_name")).alias("n"))
+    a = F.when(col("p_partkey") % 3 == 0, F.substring(col("n"), 1, 2)).otherwise(T.acronym_of(col("n")))
+    return p.select("p_partkey", T.acronym_of(col("n")).alias("acronym"), T.acronym_match(a, col("n")).alias("matches"))
+
+
+@query
+def idf_overlap(spark, d):
+    p = table(spark, d, "part").select("p_partkey", "p_brand", T.normalize_text(F.concat_ws(" ", "p_name", "p_type")).alias("n"))
+    tok = p.select("p_brand", "p_partkey", F.explode(T.name_tokens(col("n"))).alias("term"))
+    idf = R.smooth_idf(tok, p, ["p_brand"])
+    first = p.groupBy("p_brand").agg(F.min(F.struct("p_partkey", "n")).alias("f")).select("p_brand", T.name_tokens(col("f.n")).alias("ref"))
+    shared = tok.join(first, "p_brand").where(F.array_contains("ref", col("term"))).join(idf, ["p_brand", "term"])
+    g = shared.groupBy("p_partkey").agg(F.avg("idf").alias("m"))
+    return p.join(g, "p_partkey", "left").select("p_partkey", r6(F.coalesce("m", lit(0.0))).alias("idf_overlap"))
+
+
+@query
+def feature_vector(spark, d):
+    s = table(spark, d, "supplier")
+    fields = [(col("s_name"), "ETAB_ENSEIGNE"), (F.concat(lit("Customer "), col("s_suppkey").cast("string")), "UL_DENOM")]
+    cand = s.select(col("s_suppkey").alias("cand_id"), col("s_nationkey").alias("insee"), K.bag_of_names(fields, lit(False)).alias("bag"), F.concat((col("s_suppkey") % 50).cast("string"), lit(" RUE "), (col("s_suppkey") % 9).cast("string")).alias("addr2"), lit("LYON").alias("city2"))
+    crm = _crm(spark, d).withColumn("addr1", F.concat((col("query_id") % 50).cast("string"), lit(" RUE "), (col("query_id") % 9).cast("string"))).withColumn("city1", lit("LYON"))
+    pairs = crm.join(cand, col("q_insee") == col("insee"))
+    names = P.name_features(pairs, "bag", "q_name", "city1", "city2", ["query_id", "cand_id"])
+    addr = P.address_features(pairs.select("query_id", "cand_id", "addr1", "addr2"), "addr1", "addr2")
+    f = names.join(addr, ["query_id", "cand_id"]).withColumn("address_density", lit(1)).withColumn("postcode_match", lit(1))
+    f = P.interactions(f)
+    keep = ["name_jaro_max", "name_jaro_second", "name_levenshtein_max", "addr_jaro", "addr_levenshtein", "street_number_diff", "street_name_jaro", "name_addr_consistency", "full_addr_match_score"]
+    return f.select("query_id", "cand_id", "name_count", *[r6(col(k)).alias(k) for k in keep])
+
+
+# Retrieval channels
+
+
+@query
+def word_tfidf_topk(spark, d):
+    b = table(spark, d, "benchmark").select("item_id", T.normalize_text(col("text")).alias("t"))
+    docs = table(spark, d, "documents").select("doc_id", T.normalize_text(col("text")).alias("t"))
+    terms = R.word_ngrams(col("t"), 1)
+    return R.tfidf_top_k(b, docs, by=[], query_id="item_id", doc_id="doc_id", query_terms=terms, doc_terms=terms, k=10).select("item_id", "doc_id", F.round("score", 3).alias("score"), "rank")
+
+
+def _part_names(spark, d):
+    p = table(spark, d, "part").select("p_partkey", "p_brand", T.normalize_text(F.concat_ws(" ", "p_name", "p_type")).alias("t"))
+    return p, p.where("p_partkey % 10 = 0").select(col("p_partkey").alias("q"), "p_brand", "t")
+
+
+@query
+def char_tfidf_topk(spark, d):
+    p, q = _part_names(spark, d)
+    g = R.char_ngrams(col("t"))
+    return R.tfidf_top_k(q, p, by=["p_brand"], query_id="q", doc_id="p_partkey", query_terms=g, doc_terms=g, k=3, norm=True).select("q", "p_partkey", "score", "rank")
+
+
+@query
+def address_tfidf_topk(spark, d):
+    p, q = _part_names(spark, d)
+    w = R.word_ngrams(col("t"), 2)
+    return R.tfidf_top_k(q, p, by=["p_brand"], query_id="q", doc_id="p_partkey", query_terms=w, doc_terms=w, k=3, max_df=0.95).select("q", "p_partkey", "score", "rank")
+
+
+@query
+def global_cosine_topk(spark, d):
+    p, q = _part_names(spark, d)
+    w, g = R.word_ngrams(col("t"), 1), R.char_ngrams(col("t"), 3, 3)
+    one = lambda terms: R.tfidf_top_k(q, p, by=["p_brand"], query_id="q", doc_id="p_partkey", query_terms=terms, doc_terms=terms, k=10, norm=True, min_df=2, max_df=0.95)
+    return R.merge_channels(one(w), one(g), query_id="q", doc_id="p_partkey", k=5).select("q", "p_partkey", "score", "rank")
+
+
+@query
+def hybrid_union_rescue(spark, d):
+    p, q = _part_names(spark, d)
+    w = R.word_ngrams(col("t"), 1)
+    a = R.tfidf_top_k(q, p, by=["p_brand"], query_id="q", doc_id="p_partkey", query_terms=w, doc_terms=w, k=5)
+    b = R.tfidf_top_k(q, p, by=["p_brand"], query_id="q", doc_id="p_partkey", query_terms=R.word_ngrams(col("t"), 2), doc_terms=R.word_ngrams(col("t"), 2), k=5, max_df=0.5)
+    return R.union_channels([("name", a), ("address", b)], query_id="q", doc_id="p_partkey", cap=8).select("q", "p_partkey", "channel", "place")
+
+
+@query
+def dense_topk(spark, d):
+    e = table(spark, d, "embeddings")
+    return R.dense_top_k(e, e, by=["label"], query_id="q", doc_id="vec_id", vector="embedding", k=5, round_to=5).select("q", "vec_id", "score", "rank")
+
+
+@query
+def semantic_top2_gap(spark, d):
+    e = table(spark, d, "embeddings")
+    return R.top_two_gap(R.dense_top_k(e, e, by=["label"], query_id="q", doc_id="vec_id", vector="embedding", k=2, round_to=5), query=["q"])
+
+
+# Ranking, routing
+
+
+@query
+def dedupe_last_wins(spark, d):
+    return B.keep_first(table(spark, d, "orders"), ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")]).select("o_custkey", "o_orderkey")
+
+
+@query
+def stage1_topn(spark, d):
+    return _top(spark, d, 50).groupBy("query_id").agg(F.count("*").alias("kept"), F.sum("cand_id").alias("id_sum"))
+
+
+@query
+def topk_gap_ratio(spark, d):
+    g = P.gap_and_ratio(_top(spark, d), query="query_id")
+    return g.select("query_id", *[r6(col(c)).alias(c) for c in ("score_top1", "score_top2", "score_top3_avg", "score_gap", "score_ratio")])
+
+
+@query
+def open_over_closed(spark, d):
+    o = table(spark, d, "orders").select(col("o_custkey").alias("q"), (col("o_custkey") % 2).alias("siren"), "o_orderkey", (col("o_orderstatus") == "F").alias("closed"), col("o_totalprice").alias("score"))
+    o = o.withColumn("siren", F.concat(col("siren").cast("string"), col("o_orderkey").cast("string").substr(-1, 1)))
+    return P.promote_open(P.top_k(o, query="q", candidate="o_orderkey", k=10), query="q", entity="siren", closed=col("closed")).select("q", "o_orderkey", "rank")
+
+
+@query
+def risk_features(spark, d):
+    top = _top(spark, d).withColumnRenamed("jw", "name_jaro_max").withColumnRenamed("lev", "addr_jaro")
+    r = P.risk_row(top, query="query_id")
+    return r.select("query_id", *[r6(col(c)).alias(c) for c in ("score_top1", "score_top2", "score_gap", "score_ratio", "top1_name_jaro_max", "top2_name_jaro_max", "delta_name_jaro_max", "top1_addr_jaro", "delta_addr_jaro", "delta_city_match")])
+
+
+@query
+def route_auto_review(spark, d):
+    top = _top(spark, d, 2)
+    g = P.gap_and_ratio(top, query="query_id")
+    best = top.where("rank = 1").select("query_id", col("cand_id").alias("chosen"))
+    ok = (col("score_top1") >= 0.85) & (col("score_gap") >= 0.01)
+    return best.join(g, "query_id").select("query_id", "chosen", r6(col("score_top1")).alias("score"), r6(col("score_gap")).alias("gap"), F.when(ok, "AUTO").otherwise("REVIEW").alias("status"), P.confidence_status(col("score_top1")).alias("confidence"))
+
+
+@query
+def places_fallback(spark, d):
+    top = _top(spark, d, 1)
+    review = top.where("score < 0.9").select("query_id", (col("query_id") % 11).alias("dept"))
+    places = table(spark, d, "supplier").select((col("s_suppkey") * 3).alias("query_id"), col("s_suppkey").alias("place_id"), (col("s_suppkey") % 11).alias("place_dept"))
+    again = top.select("query_id", col("score"))
+    out = P.places_fallback(review, places, query="query_id", dept_query=col("dept"), dept_place=col("place_dept"), rescored=again, threshold=0.75)
+    return out.select("query_id", "reason", "final_status")
+
+
+@query
+def loss_reasons(spark, d):
+    o = table(spark, d, "orders")
+    k = col("o_orderkey")
+    reason = B.loss_reason(found=k % 7 == 0, in_partition=k % 5 != 0, closed=col("o_orderstatus") == "F", unnamed=k % 11 == 0, prefiltered=k % 13 == 0, pruned=k % 3 == 0)
+    return o.select(F.coalesce(reason, lit("FOUND")).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+# Groups, aggregations
+
+
+@query
+def group_sources(spark, d):
+    return K.group_sources(table(spark, d, "conversations"), col("conv_id"), "role", "text", "turn")
+
+
+@query
+def commune_mode(spark, d):
+    j = table(spark, d, "orders").join(table(spark, d, "customer"), col("o_custkey") == col("c_custkey"))
+    return K.most_frequent(j, ["c_nationkey"], ["o_orderpriority", "o_orderstatus"], "o_orderkey")
+
+
+@query
+def string_agg_distinct(spark, d):
+    return K.entity_names(table(spark, d, "part"), "p_brand", ["p_name", "p_type"]).select("p_brand", F.md5(col("names").cast("binary")).alias("names_md5"))
+
+
+@query
+def geo_count_index(spark, d):
+    li = table(spark, d, "lineitem").select("l_suppkey", "l_returnflag", "l_linestatus")
+    return K.entity_places(li, "l_suppkey", "l_returnflag", "l_linestatus")
+
+
+@query
+def geo_locations_in_order(spark, d):
+    g = K.entity_places(table(spark, d, "lineitem"), "l_suppkey", "l_returnflag", "l_linestatus")
+    return K.places_in_order(g, "l_suppkey", lit("R"), lit("F"), "l_returnflag", "l_linestatus", 400).select("l_suppkey", "l_returnflag", "l_linestatus", "place", "before")
+
+
+@query
+def source_cap(spark, d):
+    return K.cap_per_source(table(spark, d, "events"), ["user_id"], "event_type", [F.desc("value"), "event_id"], 3).select("event_id", "place")
+
+
+@query
+def closed_filter(spark, d):
+    return K.open_only(table(spark, d, "orders"), "o_orderstatus", closed_since=col("o_orderdate") >= lit("1997-01-01").cast("timestamp_ntz")).select("o_orderkey", "o_orderstatus")
+
+
+@query
+def partition_validator(spark, d):
+    li = table(spark, d, "lineitem").withColumn("code", F.concat(col("l_returnflag"), col("l_linestatus")))
+    return K.partition_issues(li, code="code", key="l_orderkey", expected=col("l_linestatus") == "F")
+
+
+@query
+def audit_location(spark, d):
+    o = table(spark, d, "orders").groupBy("o_custkey").agg(F.min("o_orderstatus").alias("st")).withColumnRenamed("o_custkey", "c_custkey")
+    return K.audit(table(spark, d, "customer"), o, "c_custkey", col("st") == "F").groupBy("status").agg(F.count("*").alias("n"))
+
+
+@query
+def upsert_keep_last(spark, d):
+    o = table(spark, d, "orders")
+    old = o.where("o_orderstatus = 'F'").select("o_custkey", "o_orderkey").transform(lambda x: B.keep_first(x, ["o_custkey"], ["o_orderkey"]))
+    new = o.where("o_orderstatus = 'O'").select("o_custkey", "o_orderkey", col("o_orderkey").alias("_seq"))
+    return K.upsert(old, new, ["o_custkey"])
+
+
+# Evaluation
+
+
+def _truth(spark, d):
+    return _top(spark, d).withColumn("label", (col("cand_id") % 4 == col("query_id") % 4).cast("int"))
+
+
+@query
+def hit_at_k(spark, d):
+    return E.hit_at_k(_truth(spark, d), query="query_id", label="label", ks=[1, 3, 5])
+
+
+@query
+def routing_evaluation(spark, d):
+    t = _truth(spark, d).where("rank = 1").select("query_id", F.when(col("score") >= 0.85, "AUTO").otherwise("REVIEW").alias("status"), (col("label") == 1).alias("strict"), (col("cand_id") % 2 == col("query_id") % 2).alias("same"))
+    return E.routing_measures(t)
+
+
+@query
+def segment_breakdown(spark, d):
+    x = table(spark, d, "labels").join(table(spark, d, "documents").select("doc_id", "lang"), "doc_id")
+    x = x.select("lang", F.when(col("toxic") == 0, "AUTO").otherwise("REVIEW").alias("status"), (col("quality") == 1).alias("strict"), (col("quality") == 1).alias("same"))
+    return E.routing_measures(x, ["lang"]).select(F.coalesce("lang", lit("ALL")).alias("segment"), "total", "auto", "auto_right", "auto_rate", "precision", "fp_rate", "fn_rate")
+
+
+def _calibration(spark, d):
+    return table(spark, d, "labels").select("doc_id", ((col("doc_id") * 37 % 101) / 100.0).alias("score"), col("quality").alias("label"))
+
+
+@query
+def calibration_ece(spark, d):
+    return E.probability_errors(_calibration(spark, d), score="score", label="label")
+
+
+@query
+def calibration_table(spark, d):
+    return E.calibration_bins(_calibration(spark, d), score="score", label="label")
+
+
+@query
+def auc(spark, d):
+    return E.area_under_curve(_calibration(spark, d), score="score", label="label")
+
+
+@query
+def threshold_sweep(spark, d):
+    return E.threshold_sweep(_calibration(spark, d), score="score", correct=col("label") == 1, thresholds=[round(0.5 + 0.005 * i, 3) for i in range(100)], target=0.15)
+
+
+@query
+def cost_grid(spark, d):
+    t = _calibration(spark, d).withColumn("gap", col("doc_id") % 10 / 20.0)
+    return E.cost_grid(t, score="score", gap="gap", thresholds=[0.75, 0.8, 0.85, 0.9], gaps=[0.0, 0.05, 0.1, 0.15, 0.2, 0.25], daily=5000)
+
+
+@query
+def pipeline_stats(spark, d):
+    o = table(spark, d, "orders")
+    n = F.count("*")
+    s = lambda x: col("o_orderstatus") == x
+    return o.agg(n.alias("total"), F.count_if(s("F")).alias("matched"), F.count_if(s("P")).alias("review"), F.round(F.count_if(s("F")) / n, 4).alias("match_rate"), F.round(F.avg(F.when(s("F"), col("o_totalprice"))), 4).alias("mean_match"), F.round(F.min(F.when(s("F"), col("o_totalprice"))), 4).alias("min_match"), F.round(F.max(F.when(s("F"), col("o_totalprice"))), 4).alias("max_match"))
+
+
+@query
+def timer_percentiles(spark, d):
+    return E.timer_percentiles(table(spark, d, "events"), by="event_type", value="value")
+
+
+# Sampling
+
+
+@query
+def hard_negatives(spark, d):
+    p = _scored(spark, d).withColumn("label", (col("cand_id") % 4 == col("query_id") % 4).cast("int")).where("label = 0")
+    groups = [("hard", col("score") >= 0.7, [F.desc("score")], 5), ("same_addr", col("lev") >= 0.5, [F.desc("lev")], 5), ("random", lit(True), [F.md5(F.concat_ws("|", col("query_id").cast("string"), col("cand_id").cast("string")).cast("binary"))], 5)]
+    return M.hard_negatives(p, query="query_id", candidate="cand_id", groups=groups, cap=8).select("query_id", "cand_id", "kind", "place")
+
+
+@query
+def group_split(spark, d):
+    return M.group_split(table(spark, d, "orders"), "o_custkey").select("o_orderkey", "o_custkey", "split")
+
+
+@query
+def prefilter_sample(spark, d):
+    p = _scored(spark, d).withColumn("label", (col("cand_id") == col("query_id") % 100).cast("int")).withColumn("o", -col("score"))
+    return M.prefilter_sample(p, query="query_id", candidate="cand_id", label="label", order="o", first=2, other=2).select("query_id", "cand_id", "label")
+
+
+@query
+def silver_labels(spark, d):
+    e = table(spark, d, "events")
+    return M.silver_labels(e, {"score": (F.when(col("event_id") % 5 != 0, col("value")), 20.0), "gap": (F.when(col("event_id") % 3 == 0, col("value") / 100), 0.5)}).select("event_id", "event_type")
+
+
+# Models and streams: no SQL twin
+
+
+@query
+def gbt_scorer(spark, d):
+    p = _scored(spark, d).withColumn("label", (col("score") >= 0.8).cast("int"))
+    model = P.fit_boosted(p, ["jw", "lev"], rounds=5, depth=3)
+    return P.boosted_score(model, p.drop("score")).select("query_id", "cand_id", r6(col("score")).alias("score"))
+
+
+@query
+def isotonic_calibration(spark, d):
+    c = _calibration(spark, d)
+    return P.calibrated(P.fit_isotonic(c), c).select("doc_id", r6(col("calibrated")).alias("calibrated"))
+
+
+@query
+def pad_candidates(spark, d):
+    c, s = _crm(spark, d), _stock(spark, d)
+    block = c.join(s, col("q_insee") == col("insee")).select("query_id", "cand_id")
+    return R.pad_pool(_top(spark, d, 1).select("query_id", "cand_id"), block, query_id="query_id", doc_id="cand_id", least=3, seed="pad")
+
+
+@query
+def stream_windows(spark, d):
+    import uuid
+
+    from ..streaming.windows import windowed
+
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="concordat-")
+    path = f"{folder.rstrip('/')}/windows-{uuid.uuid4().hex}"
+    stream = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parquet*")
+    w = windowed(stream, by=["event_type"], late="60 days")
+
+    def keep(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/table")
+
+    w.writeStream.foreachBatch(keep).outputMode("complete").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(w.schema).parquet(f"{path}/table").select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n", F.round("total", 4).alias("total"))

@@ -15,19 +15,24 @@ def table_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
     return r.option("pathGlobFilter", "*.parquet").parquet(path)
 
 
+def stamped(events: DataFrame, time: str) -> DataFrame:
+    """Watermarks need timestamps with a zone; those without one are read in the session's."""
+    return events.withColumn(time, F.col(time).cast("timestamp"))
+
+
 def windowed(events: DataFrame, *, time: str = "ts", by: list[str], width: str = "1 day", late: str = "2 days", slide: str | None = None) -> DataFrame:
     """Counts and sums over tumbling or sliding windows; rows later than the watermark don't count."""
     w = F.window(time, width, slide) if slide else F.window(time, width)
-    return events.withWatermark(time, late).groupBy(w, *by).agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    return stamped(events, time).withWatermark(time, late).groupBy(w, *by).agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
 def sessions(events: DataFrame, *, time: str = "ts", by: str, gap: str = "30 minutes", late: str = "2 days") -> DataFrame:
-    return events.withWatermark(time, late).groupBy(F.session_window(time, gap), by).agg(F.count("*").alias("n"))
+    return stamped(events, time).withWatermark(time, late).groupBy(F.session_window(time, gap), by).agg(F.count("*").alias("n"))
 
 
 def once_within(events: DataFrame, keys: list[str], *, time: str = "ts", ttl: str = "7 days") -> DataFrame:
     """The first row of a key within a time to live: a cache with expiry."""
-    return events.withWatermark(time, ttl).dropDuplicatesWithinWatermark(keys)
+    return stamped(events, time).withWatermark(time, ttl).dropDuplicatesWithinWatermark(keys)
 
 
 def write(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
