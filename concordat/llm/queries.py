@@ -51,7 +51,7 @@ def op6_quality(spark, sf_dir):
 
 def op7_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.size_of(F.col("text")).alias("words"))
-    out = mixing.mix(docs, size="words").select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", "mix.position")
+    out = mixing.mix(docs, size="words").select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", F.round("mix.position", 9).alias("position"))
     return out.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
 
 
