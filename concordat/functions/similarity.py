@@ -7,6 +7,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def jaro_winkler_of(a: str, b: str) -> float:
@@ -34,7 +35,7 @@ def jaro_winkler_of(a: str, b: str) -> float:
     return jaro + prefix * 0.1 * (1 - jaro)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     known = lru_cache(1 << 14)(jaro_winkler_of)
     return pd.Series([known(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
