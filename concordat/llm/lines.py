@@ -43,4 +43,5 @@ def line_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", wind
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
     left = F.when(F.col("gone").isNull(), F.col("t")).otherwise(F.array_join(F.transform(stay, lambda i: F.element_at(parts, i + 1)), "\n"))
     n = F.when(F.col("t").isNull(), 0).otherwise(F.size(parts)).cast("long")
-    return both.select("row.*", F.struct(left.alias("text"), n.alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed")).alias("dedup"))
+    # The struct first, the row's columns after: names inside lambdas would find columns of the row.
+    return both.select("row", F.struct(left.alias("text"), n.alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed")).alias("dedup")).select("row.*", "dedup")

@@ -102,7 +102,7 @@ def mix(docs: DataFrame, *, text: str = "text", size: str | None = None, source:
     both = base.join(bins, base["source"].eqNullSafe(bins["bin_source"]) & (F.col("bin") == F.col("bin_bin")))
     both = both.select("row", F.struct("size", "source_size", "place", "target", (F.col("inner") + F.col("bin_before")).alias("before"), F.round("target").cast("long").alias("total")).alias("mix"))
     taken = sum((_part(p) for p in range(1, cap)), _part(0))
-    return both.select("row.*", F.col("mix").withField("taken", taken).withField("position", _time(0, _part(0), schedules)).alias("mix"))
+    return both.select("row", F.col("mix").withField("taken", taken).withField("position", _time(0, _part(0), schedules)).alias("mix")).select("row.*", "mix")
 
 
 def leading_words(text: Column, n: Column) -> Column:

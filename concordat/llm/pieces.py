@@ -177,7 +177,7 @@ def decode(rows: DataFrame, model_path: str, *, ids: str = "ids", to: str = "tex
 
     with open(model_path, "rb") as f:
         model = f.read()
-    schema = StructType(rows.schema.fields).add(to, "string")
+    schema = StructType([*rows.schema.fields, *StructType.fromDDL(f"`{to}` string").fields])
 
     def run(parts):
         codec = codec_of(model)

@@ -169,4 +169,5 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     keep = F.transform(edges, lambda e, i: F.substring(F.col("data"), (e + 1).cast("int"), F.when(i < F.size(runs), F.element_at(runs, F.least(i + 1, F.size(runs)))["start"] - e).otherwise(n - e).cast("int")))
     kept = F.when(F.size(runs) == 0, F.col("data")).otherwise(F.aggregate(keep, F.lit(b""), lambda acc, x: F.concat(acc, x)))
     removed = F.aggregate(runs, F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
-    return whole.select("row.*", F.struct(n.alias("n_bytes"), removed.alias("n_removed"), runs.alias("spans"), kept.alias("kept")).alias("repeats"))
+    # The struct first, the row's columns after: names inside lambdas would find columns of the row.
+    return whole.select("row", F.struct(n.alias("n_bytes"), removed.alias("n_removed"), runs.alias("spans"), kept.alias("kept")).alias("repeats")).select("row.*", "repeats")

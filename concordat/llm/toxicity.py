@@ -83,17 +83,20 @@ def fit(texts: list[str], labels: list[int], *, features: int = 2048, alpha: flo
     bias = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
     if not len(y) or y.min() == y.max():
         return ToxicityModel(np.empty(0), np.empty(0), bias)
-    docs = [_distinct(t or "") for t in texts]
     bits = np.uint32(10)  # counts go by the leading 22 bits, the hash of a kept n-gram is whole
     df = np.zeros((2, 1 << 22), np.float32)
-    for d, label in zip(docs, y):
-        np.add.at(df[int(label)], d >> bits, 1)
-    p, q = df[1] + alpha, df[0] + alpha
-    r = np.log(p / (y.sum() + 2 * alpha)) - np.log(q / (len(y) - y.sum() + 2 * alpha))
-    rank = np.abs(r) * np.sqrt(df.sum(0))
+    for t, label in zip(texts, y):
+        np.add.at(df[int(label)], _distinct(t or "") >> bits, 1)
+    r = np.log((df[1] + alpha) / (y.sum() + 2 * alpha)) - np.log((df[0] + alpha) / (len(y) - y.sum() + 2 * alpha))
+    rank = np.abs(r) * np.sqrt(df[0] + df[1])
+    del df
     top = np.argpartition(-rank, features)[:features]
-    top = top[rank[top] > 0]
-    whole = np.concatenate([d[np.isin(d >> bits, top)] for d in docs])
+    chosen = np.zeros(1 << 22, bool)
+    chosen[top[rank[top] > 0]] = True
+    del rank
+    # All n-grams of all texts at once would be the driver's largest array, so they are worked out again.
+    docs = [d[chosen[d >> bits]] for d in (_distinct(t or "") for t in texts)]
+    whole = np.concatenate(docs)
     seen, n = np.unique(whole, return_counts=True)
     order = np.lexsort((seen, -n, seen >> bits))
     seen = seen[order]
