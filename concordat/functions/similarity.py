@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,10 +34,54 @@ def jaro_winkler_of(a: str, b: str) -> float:
     return jaro + prefix * 0.1 * (1 - jaro)
 
 
+def _codes(values: list[str], width: int) -> np.ndarray:
+    """Code points, a row for each string, zeros behind."""
+    return np.array(values, f"<U{max(width, 1)}").view(np.uint32).reshape(len(values), -1)
+
+
+def jaro_winkler_batch(a: list[str], b: list[str], longest: int = 64) -> np.ndarray:
+    """The same for many pairs at once: one step for each position of the left strings, on all pairs.
+
+    Pairs with a string over `longest`, or one that holds a zero character, go one by one.
+    """
+    out = np.zeros(len(a))
+    la, lb = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+    odd = (la > longest) | (lb > longest) | np.fromiter(("\0" in x or "\0" in y for x, y in zip(a, b)), bool, len(a))
+    for i in np.flatnonzero(odd):
+        out[i] = jaro_winkler_of(a[i], b[i])
+    for first in range(0, len(a), 8192):
+        at = np.flatnonzero(~odd[first : first + 8192]) + first
+        if not len(at):
+            continue
+        n, m = la[at], lb[at]
+        x, y = _codes([a[i] for i in at], int(n.max())), _codes([b[i] for i in at], int(m.max()))
+        reach = np.maximum(np.maximum(n, m) // 2 - 1, 0)
+        column, rows = np.arange(y.shape[1]), np.arange(len(at))
+        used, hit = column[None, :] >= m[:, None], np.zeros(x.shape, bool)
+        for i in range(x.shape[1]):
+            near = (y == x[:, i, None]) & ~used & (np.abs(column[None, :] - i) <= reach[:, None]) & (i < n)[:, None]
+            j = near.argmax(1)
+            found = near[rows, j]
+            used[rows[found], j[found]] = True
+            hit[:, i] = found
+        used &= column[None, :] < m[:, None]
+        matches = hit.sum(1)
+        # The matched characters of both sides in order, side by side.
+        r, c = np.nonzero(hit)
+        r2, c2 = np.nonzero(used)
+        moved = np.bincount(r, x[r, c] != y[r2, c2], len(at)).astype(int) // 2
+        k = np.maximum(matches, 1)
+        jaro = np.where(matches > 0, (matches / np.maximum(n, 1) + matches / np.maximum(m, 1) + (matches - moved) / k) / 3, 0.0)
+        w = min(4, x.shape[1], y.shape[1])
+        head = (x[:, :w] == y[:, :w]) & (np.arange(w) < np.minimum(n, m)[:, None])
+        jaro = np.where(jaro > 0.7, jaro + np.cumprod(head, 1).sum(1) * 0.1 * (1 - jaro), jaro)
+        out[at] = np.where((n == 0) & (m == 0), 1.0, jaro)
+    return out
+
+
 @F.pandas_udf(DoubleType())
 def jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    known = lru_cache(1 << 14)(jaro_winkler_of)
-    return pd.Series([known(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
+    return pd.Series(jaro_winkler_batch(a.fillna("").tolist(), b.fillna("").tolist()))
 
 
 def jaro_winkler(a: Column, b: Column) -> Column:

@@ -67,6 +67,13 @@ def test_jaro_winkler_against_duckdb(a, b):
         assert S.jaro_winkler_of(a, b) == pytest.approx(want, abs=1e-9)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.text("ABé\0 ", max_size=70), st.text("ABé\0 ", max_size=70)), max_size=30))
+def test_jaro_winkler_batch(pairs):
+    a, b = [x for x, _ in pairs], [y for _, y in pairs]
+    assert S.jaro_winkler_batch(a, b).tolist() == pytest.approx([S.jaro_winkler_of(x, y) for x, y in pairs])
+
+
 def test_postal_codes(spark):
     assert one(spark, lambda c: F.size(C.postal_codes(c)), "69") == 1000
     got = one(spark, C.postal_codes, "69")
