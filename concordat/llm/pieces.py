@@ -7,7 +7,6 @@ import re
 import sys
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ class PieceCodec:
     surviving paths go through one boundary, the ids before it are final and leave the window.
     """
 
-    def __init__(self, model: bytes, cache: int = 1 << 19):
+    def __init__(self, model: bytes, cache: int = 1 << 18):
         from sentencepiece import SentencePieceProcessor
 
         sp = SentencePieceProcessor(model_proto=model)
@@ -44,7 +43,7 @@ class PieceCodec:
         self.lowest = min(s for s, _ in self.table.values() if s > -1e8) - 10
         # No piece has a space after another character: a boundary there lies on every path.
         self.split = None if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.table) else re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self._remember = lru_cache(cache)(self._short)
+        self.known, self.older, self.most = {}, {}, cache  # two generations: memory is bounded, frequent chunks stay
 
     def stream(self, characters: Iterable[str]) -> Iterator[tuple[int, ...]]:
         """Ids of a stream of characters (spaces as U+2581), given out as soon as they are final."""
@@ -114,8 +113,17 @@ class PieceCodec:
     def _long(self, chunk: str) -> bytes:
         return b"".join(array("i", ids).tobytes() for ids in self.stream(chunk))
 
-    def _chunk(self, chunk: str) -> bytes:
-        return self._remember(chunk) if len(chunk) <= 4 * self.window else self._long(chunk)
+    def _learn(self, chunk: str) -> bytes:
+        if len(chunk) > 4 * self.window:
+            return self._long(chunk)
+        ids = self.older.get(chunk) or self._short(chunk)
+        if len(self.known) >= self.most:
+            self.known, self.older = {}, self.known
+        self.known[chunk] = ids
+        return ids
+
+    def _part(self, text: str) -> bytes:
+        return b"".join([self.known.get(c) or self._learn(c) for c in (self.split.findall(text) if self.split else [text])]) if text else b""
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian int32."""
@@ -123,7 +131,7 @@ class PieceCodec:
             return b""
         parts = (" " + text).split(SPACE)
         literal = np.asarray([self.byte_ids[b] for b in SPACE.encode()], np.int32).tobytes()
-        return literal.join(b"".join(map(self._chunk, self.split.findall(p) if self.split else [p])) for p in (q.replace(" ", SPACE) for q in parts))
+        return literal.join(self._part(p.replace(" ", SPACE)) for p in parts)
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids))[1:].decode("utf-8", "replace")

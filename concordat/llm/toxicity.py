@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -141,16 +142,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, text: str, k
     return d.join(F.broadcast(y), "id").orderBy(F.xxhash64("id"), F.xxhash64("text")).limit(rows)
 
 
-def batches(column: pa.Array, most: int = 4_000_000):
-    """Slices (start, texts) of a column of texts, of about `most` characters each; a longer text stands alone."""
-    texts, start, size = column.to_pylist(), 0, 0
-    for i, t in enumerate(texts):
-        if i > start and size + len(t or "") > most:
-            yield start, texts[start:i]
+def batches(column: pa.Array, most: int = 1_000_000):
+    """Slices (start, texts) of a column of texts, of about `most` bytes each; a longer text stands alone."""
+    sizes, start, size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and size + n > most:
+            yield start, column.slice(start, i - start).to_pylist()
             start, size = i, 0
-        size += len(t or "")
-    if texts:
-        yield start, texts[start:]
+        size += n
+    if len(sizes):
+        yield start, column.slice(start).to_pylist()
 
 
 def score(docs: DataFrame, model: ToxicityModel, *, text: str = "text", threshold: float = 0.5) -> DataFrame:
