@@ -26,7 +26,7 @@ class PieceCodec:
     surviving paths go through one boundary, the ids before it are final and leave the window.
     """
 
-    def __init__(self, model: bytes, cache: int = 1 << 18):
+    def __init__(self, model: bytes, cache: int = 1 << 16):
         from sentencepiece import SentencePieceProcessor
 
         sp = SentencePieceProcessor(model_proto=model)
