@@ -7,6 +7,7 @@ import re
 import sys
 from array import array
 from collections.abc import Iterable, Iterator
+from math import inf
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ class PieceCodec:
     surviving paths go through one boundary, the ids before it are final and leave the window.
     """
 
-    def __init__(self, model: bytes, cache: int = 1 << 16):
+    def __init__(self, model: bytes, cache: int = 1 << 17):
         from sentencepiece import SentencePieceProcessor
 
         sp = SentencePieceProcessor(model_proto=model)
@@ -39,7 +40,8 @@ class PieceCodec:
         for b, i in enumerate(self.byte_ids):
             self.bytes[i] = bytes([b])
         self.window = max(map(len, self.table))
-        self.prefixes = {p[:n] for p in self.table for n in range(1, len(p) + 1)}
+        # Every beginning of a piece: its score and id, or -1 where it is only a beginning.
+        self.arcs = {p[:n]: (0.0, -1) for p in self.table for n in range(1, len(p))} | self.table
         self.lowest = min(s for s, _ in self.table.values() if s > -1e8) - 10
         # No piece has a space after another character: a boundary there lies on every path.
         self.split = None if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.table) else re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -88,21 +90,23 @@ class PieceCodec:
 
     def _short(self, chunk: str) -> bytes:
         """The same for a chunk between two such boundaries that is hardly longer than the window."""
-        table, prefixes, n = self.table, self.prefixes, len(chunk)
-        best, back, arcs = [0.0] + [None] * n, [0] * (n + 1), [0] * (n + 1)
+        arc_of, lowest, reach, n = self.arcs.get, self.lowest, self.window, len(chunk)
+        best, back, arcs = [-inf] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+        best[0] = 0.0
         for start in range(n):
             so_far, single = best[start], False
-            for end in range(start + 1, min(n, start + self.window) + 1):
-                piece = chunk[start:end]
-                if piece not in prefixes:
+            for end in range(start + 1, min(n, start + reach) + 1):
+                arc = arc_of(chunk[start:end])
+                if arc is None:
                     break
-                arc = table.get(piece)
-                if arc is not None:
-                    single |= end == start + 1
-                    if best[end] is None or so_far + arc[0] > best[end]:
-                        best[end], back[end], arcs[end] = so_far + arc[0], start, arc[1]
-            if not single and (best[start + 1] is None or so_far + self.lowest > best[start + 1]):
-                best[start + 1], back[start + 1], arcs[start + 1] = so_far + self.lowest, start, -1
+                if arc[1] >= 0:
+                    if end == start + 1:
+                        single = True
+                    score = so_far + arc[0]
+                    if score > best[end]:
+                        best[end], back[end], arcs[end] = score, start, arc[1]
+            if not single and so_far + lowest > best[start + 1]:
+                best[start + 1], back[start + 1], arcs[start + 1] = so_far + lowest, start, -1
         ids, end = [], n
         while end:
             start = back[end]
