@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .induced import suffix_blocks
+from .induced import only, suffix_blocks
 from .shared import cut
 
 GRAM = 64
@@ -52,8 +52,8 @@ def anchors(data: bytes, length: int):
 def repeated_in_shard(parts, length: int):
     """Rows (a, c, low, high) for the segments of a shard: bytes low to high of segment c are in repeated strings.
 
-    Segments go to a file as they come; its suffixes are sorted externally; of neighbours in that order it is
-    compared whether `length` bytes are common. Starts whose strings are equal, and stand alike to the same anchor,
+    Segments go to a file as they come; its suffixes are sorted externally, and the common prefixes that come with
+    the order say which neighbours share `length` bytes. Starts whose strings are equal, and stand alike to the same anchor,
     are occurrences of one string; every segment counts as often as it occurs.
     """
     seen, groups, names, counts, offs, sizes, heads = set(), [], [], [], [], [], []
@@ -73,7 +73,7 @@ def repeated_in_shard(parts, length: int):
             return
         np.zeros(1, np.uint16).tofile(file)
         file.flush()
-        text = np.memmap(file, np.uint16, "r", shape=(total + 1,))
+        text = np.asarray(np.memmap(file, np.uint16, "r", shape=(total + 1,)))
         heads_, sizes_, counts_, offs_ = np.array(heads, np.int64), np.array(sizes, np.int64), np.array(counts, np.int64), np.array(offs, np.int64)
         _, group = np.unique(np.array(groups, np.int64), return_inverse=True)
         wanted = np.zeros(total + 1, bool)
@@ -81,17 +81,12 @@ def repeated_in_shard(parts, length: int):
         np.add.at(step, heads_, 1)
         np.add.at(step, heads_ + sizes_, -1)
         np.cumsum(step[:-1], out=wanted.view(np.int8))
-        x = np.concatenate([b[wanted[b]] for b in suffix_blocks(text, 258, length)]).astype(np.int64)
-        same = np.zeros(len(x), bool)
-        near = np.flatnonzero((text[x[:-1]] == text[x[1:]]) & (text[x[:-1] + length - 1] == text[x[1:] + length - 1]) & (text[x[:-1] + length // 2] == text[x[1:] + length // 2])) + 1
-        view = np.lib.stride_tricks.sliding_window_view(text, length)
-        for i in range(0, len(near), 4096):
-            k = near[i : i + 4096]
-            same[k] = (view[x[k - 1]] == view[x[k]]).all(1)
-        seg = np.searchsorted(heads_, x, "right") - 1
+        x, common = only(suffix_blocks(text, 258, length), wanted)
+        x, same = x.astype(np.int64), common >= length
+        seg = np.repeat(np.arange(len(heads_), dtype=np.int32), np.diff(heads_, append=total + 1))[x]
         offset = x - heads_[seg]
-        key = (np.cumsum(~same) << 32) | (group[seg] << 10) | (offset - offs_[seg] + 512)
-        order = np.argsort(key, kind="stable")
+        key = (np.cumsum(~same) << 32) | (group[seg].astype(np.int64) << 10) | (offset - offs_[seg] + 512)
+        order = np.argsort(key)
         run = np.cumsum(np.concatenate([[True], np.diff(key[order]) != 0])) - 1
         often = np.bincount(run, counts_[seg[order]]) >= 2
         hit = order[often[run]]

@@ -100,21 +100,39 @@ def test_components(spark):
     assert shared.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def sorted_suffixes(t):
+    """(order, common prefixes) of all suffixes by brute force."""
+    t = t.tolist()
+    order = sorted(range(len(t)), key=lambda i: t[i:])
+    return order, [0] + [next(k for k in range(len(t)) if t[a + k] != t[b + k]) for a, b in zip(order, order[1:])]
+
+
+def induced_suffixes(t, symbols, depth, inner):
+    return tuple(np.concatenate(x).tolist() for x in zip(*induced.suffix_blocks(t, symbols, depth, inner)))
+
+
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.integers(1, 4), max_size=80))
-def test_induced_order(symbols):
+@given(st.lists(st.integers(1, 4), max_size=80), st.sampled_from([0, 10, 1000]))
+def test_induced_order(symbols, inner):
     t = np.array([*symbols, 0], np.uint16)
-    got = np.concatenate(list(induced.suffix_blocks(t, 6, 200))).tolist()
-    assert got == sorted(range(len(t)), key=lambda i: t[i:].tolist())
+    assert induced_suffixes(t, 6, len(t) + 1, inner) == sorted_suffixes(t)
+
+
+@pytest.mark.parametrize("body", [[5] * 80, [1, 2] * 60, [1, 1, 2] * 40, [3, 2, 1] * 40, list(range(1, 100)), list(range(100, 0, -1))])
+def test_induced_order_of_periodic_strings(body):
+    t = np.array([*body, 0], np.uint16)
+    assert induced_suffixes(t, 300, len(t) + 1, 0) == sorted_suffixes(t)
 
 
 def test_induced_order_from_disk(monkeypatch):
-    kept = induced.DiskQueue.__init__
-    monkeypatch.setattr(induced.DiskQueue, "__init__", lambda self, most=16: kept(self, 16))
+    """Queues that spill all the time, short steps, recursion to the end, and symbols that share ranges."""
+    kept = induced.DiskQueues.__init__
+    monkeypatch.setattr(induced.DiskQueues, "__init__", lambda self, count: kept(self, count, 16, 4))
+    monkeypatch.setattr(induced, "_STEP", 7)
     rng = np.random.default_rng(2)
-    t = np.append(np.tile(rng.integers(2, 9, 300), 5), 0).astype(np.uint16)
-    got = np.concatenate(list(induced.suffix_blocks(t, 10, 1600))).tolist()
-    assert got == sorted(range(len(t)), key=lambda i: t[i:].tolist())
+    for most in (9, 700):
+        t = np.append(np.tile(rng.integers(2, most, 150), 4), 0).astype(np.uint16)
+        assert induced_suffixes(t, most + 1, len(t), 0) == sorted_suffixes(t)
 
 
 def removed(texts, length):
