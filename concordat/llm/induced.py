@@ -70,8 +70,8 @@ class DiskQueues:
             return self.waiting[0]
         return np.concatenate([a for a, _ in self.waiting]), np.concatenate([r for _, r in self.waiting])
 
-    def take(self, q: int) -> np.ndarray:
-        """All of queue `q`, which is empty then."""
+    def take(self, q: int, keep: bool = False) -> np.ndarray:
+        """All of queue `q`, which is empty then unless `keep`."""
         parts = []
         if self.file is not None:
             self.file.flush()
@@ -79,8 +79,9 @@ class DiskQueues:
             self.file.seek(place)
             parts.append(np.fromfile(self.file, np.int32, 2 * n).reshape(n, 2))
         parts += self.held[q]
-        self.n_held -= sum(map(len, self.held[q]))
-        self.runs[q], self.held[q] = [], []
+        if not keep:
+            self.n_held -= sum(map(len, self.held[q]))
+            self.runs[q], self.held[q] = [], []
         if self.waiting:
             at, rows = self._waiting()
             mine = at == q
@@ -146,7 +147,7 @@ def _least(x: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
 def _sweep(t: np.ndarray, takes: np.ndarray, seeds: DiskQueues, ranges: np.ndarray, count: int, symbols: int, down: bool, done: DiskQueues, carry: bool) -> None:
     """Pop suffixes in order (from the last if `down`) and push those to their left that `takes` marks.
 
-    `seeds` holds, by range, the suffixes of the other kind in order; in a bucket they come after the pushed ones. What
+    `seeds` holds, by range, the suffixes of the other kind in ascending order; in a bucket they come after the pushed ones. What
     was pushed ends in `done`, by range, as it was popped. A step commits the tuples up to the first bucket into whose
     past a push of the step would fall; so a step is as if one tuple were popped after the other. Common prefixes are
     left out unless `carry`.
@@ -175,7 +176,9 @@ def _sweep(t: np.ndarray, takes: np.ndarray, seeds: DiskQueues, ranges: np.ndarr
         return [own * 2 + seed, position, common, to, np.where(inside, onward * 2, far)]
 
     for q in range(count - 1, -1, -1) if down else range(count):
-        pushed, given = queue.take(q), seeds.take(q)
+        pushed, given = queue.take(q), seeds.take(q, down)
+        if down:
+            given = _turned(given)
         if not len(pushed) and not len(given):
             continue
         work = [np.concatenate(x) for x in zip(keyed(pushed, 0), keyed(given, 1))]
@@ -226,21 +229,14 @@ def _sweep(t: np.ndarray, takes: np.ndarray, seeds: DiskQueues, ranges: np.ndarr
 
 def _induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, ranges: np.ndarray, count: int, symbols: int, carry: bool = True):
     """All suffixes in order as tuples, a range of symbols at a time, from ordered tuples of left-most small ones."""
-    given, large, turned, little = (DiskQueues(count) for _ in range(4))
+    given, large, little = (DiskQueues(count) for _ in range(3))
     given.push(ranges[t[seeds[:, 0]]], seeds)
     _sweep(t, ~small, given, ranges, count, symbols, False, large, carry)
     given.close()
-    kept = DiskQueues(count)
-    for q in range(count):
-        rows = large.take(q)
-        kept.append(q, rows)
-        turned.append(q, _turned(rows))
-    large.close()
-    _sweep(t, small, turned, ranges, count, symbols, True, little, carry)
-    turned.close()
+    _sweep(t, small, large, ranges, count, symbols, True, little, carry)
     before = (-1, False, 0)
     for q in range(count):
-        a, b = kept.take(q), _turned(little.take(q))
+        a, b = large.take(q), _turned(little.take(q))
         if q == ranges[0]:  # no suffix hands over the sentinel
             b = np.concatenate([_tuples(np.array([len(t) - 1]), np.array([0])), b])
         rows = np.concatenate([a, b])
@@ -257,7 +253,7 @@ def _induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, ranges: np.ndar
             _seams(t, own, kind, position, common, before)
         before = (own[-1], kind[-1], position[-1])
         yield position, common
-    kept.close()
+    large.close()
     little.close()
 
 
