@@ -31,7 +31,7 @@ class DiskQueues:
     are only pushed to the current range or later ones, together they are a monotone priority queue. Tuples wait in a
     short list, are dealt to their ranges, and beyond `most` go to one file as runs of their ranges."""
 
-    def __init__(self, count: int, most: int = 1 << 21, wait: int = 1 << 15):
+    def __init__(self, count: int, most: int = 1 << 22, wait: int = 1 << 15):
         self.held, self.runs = [[] for _ in range(count)], [[] for _ in range(count)]
         self.n_held, self.most, self.file = 0, most, None
         self.waiting, self.n_waiting, self.wait = [], 0, wait
