@@ -10,6 +10,12 @@ TEMPLATES = {
     "MIT-notice": "Released under the MIT License.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-ND-4.0-short": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-4.0-short": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-NC-SA-4.0-short": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0-short": "Licensed under CC BY-NC-ND 4.0.",
     "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "BSD-notice": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
     "MPL-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",

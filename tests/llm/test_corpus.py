@@ -112,6 +112,25 @@ def test_licences_against_brute_force(spark):
         assert [(m["unit"], m["template"], round(m["dice"], 9)) for m in r["licences"]] == want
 
 
+def test_licences_of_the_documents_table(spark):
+    """Every line of the table that names a licence is found, each under its own name."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("text rlike '(?i)licen[cs]|creative commons|CC BY'")
+    names = {"Released under the MIT License.": "MIT-notice", "Licensed under the Apache License, Version 2.0.": "Apache-2.0-notice", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0-notice", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0-short"}
+    seen = set()
+    for r in licences.license_scan(docs.select("doc_id", "text")).collect():
+        for i, line in enumerate(r["text"].split("\n")):
+            if re.search("(?i)licen[cs]|creative commons|CC BY", line):
+                seen.add(line)
+                assert [m["template"] for m in r["licences"] if m["unit"] == i] == [names[line]]
+    assert seen == set(names)
+
+
+def test_licences_short_notices_are_told_apart(spark):
+    short = {k: v for k, v in licences.TEMPLATES.items() if k.endswith("-short")}
+    df = spark.createDataFrame(list(short.items()), "name string, text string")
+    assert len(short) == 6 and all([m["template"] for m in r["licences"]] == [r["name"]] for r in licences.license_scan(df).collect())
+
+
 def test_licences_odd_rows(spark):
     out = licences.license_scan(odd.documents(spark, odd.odd_rows()))
     assert out.count() == 9 and odd.kept(out) and all(r["licences"] == [] for r in out.collect())
