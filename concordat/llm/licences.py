@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,8 @@ TEMPLATES = {
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
 }
+# Complete licence texts; a copy's title and copyright lines are few words beside them.
+TEMPLATES |= {p.stem: p.read_text() for p in sorted((Path(__file__).parent / "texts").glob("*.txt"))}
 
 
 def normalised(text: Column) -> Column:
@@ -29,6 +34,7 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
 
 
+@functools.lru_cache(1 << 16)
 def bigrams_of(text: str) -> list[str]:
     """The same, of a template, on the driver."""
     import re
@@ -37,6 +43,11 @@ def bigrams_of(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(w, w[1:])))
 
 
+def literal(values: list[str]) -> Column:
+    """An array of bigrams, in one call: they hold letters, digits and spaces only."""
+    return F.expr("array(" + ", ".join(f"'{x}'" for x in values) + ")")
+
+
 def license_scan(docs: DataFrame, *, text: str = "text", templates: dict[str, str] = TEMPLATES, threshold: float = 0.8) -> DataFrame:
     """Every row of `docs` plus an array `licences` of structs (unit, template, dice), dice >= threshold.
 
@@ -78,7 +89,7 @@ def license_scan(docs: DataFrame, *, text: str = "text", templates: dict[str, st
         all_ = []
         for name, b in sets.items():
             inside = n.between(low * len(b), high * len(b))
-            dice = 2 * F.size(F.array_intersect(u["pairs"], F.array(*[F.lit(x) for x in b]))) / (n + len(b))
+            dice = 2 * F.size(F.array_intersect(u["pairs"], literal(b))) / (n + len(b))
             all_.append(F.struct(u["unit"].alias("unit"), F.lit(name).alias("template"), F.when(inside, dice).otherwise(0.0).alias("dice")))
         return F.filter(F.array(*all_), lambda m: m["dice"] >= threshold)
 

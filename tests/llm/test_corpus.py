@@ -1,5 +1,6 @@
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -125,6 +126,17 @@ def test_licences_of_the_documents_table(spark):
     assert seen == set(names)
 
 
+def test_licences_complete_files(spark):
+    """Unchanged licence files, with their titles and copyright lines, match as whole texts."""
+    here = Path(__file__).parent / "texts"
+    want = {"mit": "MIT-full", "isc": "ISC-full", "bsd2": "BSD-2-Clause", "bsd3": "BSD-3-Clause"}
+    data = [(k, v, (here / f"{k}.txt").read_text()) for k, v in want.items()]
+    data += [(k, k, licences.TEMPLATES[k]) for k in ("Apache-2.0", "GPL-3.0", "MPL-2.0")]
+    df = spark.createDataFrame(data, "name string, template string, text string")
+    for r in licences.license_scan(df).collect():
+        assert r["template"] in [m["template"] for m in r["licences"] if m["unit"] == -1], r["name"]
+
+
 def test_licences_short_notices_are_told_apart(spark):
     short = {k: v for k, v in licences.TEMPLATES.items() if k.endswith("-short")}
     df = spark.createDataFrame(list(short.items()), "name string, text string")
