@@ -57,8 +57,8 @@ def op7_mixing(spark, sf_dir):
 
 def op8_licences(spark, sf_dir):
     out = licences.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    best = F.array_max(F.transform("licences", lambda m: F.struct(m["dice"].alias("dice"), (-m["unit"]).alias("unit"), m["template"].alias("template"))))
-    return out.select("doc_id", F.size("licences").cast("long").alias("n_matches"), F.concat_ws(",", F.array_sort(F.array_distinct(F.transform("licences", lambda m: m["template"])))).alias("found"), F.round(best["dice"], 6).alias("best_dice"))
+    every = lambda field: F.concat(F.transform("licences", lambda m: m[field]), F.transform("licence_passages", lambda m: m[field]))
+    return out.select("doc_id", F.size(every("template")).cast("long").alias("n_matches"), F.concat_ws(",", F.array_sort(F.array_distinct(every("template")))).alias("found"), F.round(F.array_max(every("dice")), 6).alias("best_dice"))
 
 
 def op9_pieces(spark, sf_dir):

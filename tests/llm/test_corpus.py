@@ -143,6 +143,54 @@ def test_licences_short_notices_are_told_apart(spark):
     assert len(short) == 6 and all([m["template"] for m in r["licences"]] == [r["name"]] for r in licences.license_scan(df).collect())
 
 
+def test_licences_passages(spark):
+    """Wrapped notices inside a long text, and notices with other words beside them, are found once each."""
+    rng = random.Random(4)
+    filler = lambda n: " ".join(rng.choice(("alpha", "beta", "of", "the", "software", "gamma", "license")) + str(rng.randrange(50)) for _ in range(n))
+    wrap = lambda t, n: "\n".join(" ".join(t.split()[i : i + n]) for i in range(0, len(t.split()), n))
+    data, want = [], []
+    for name, t in licences.TEMPLATES.items():
+        if len(t.split()) < 2000:
+            data.append(filler(40) + "\n" + filler(9) + " " + wrap(t, 5 if len(t) < 300 else 12) + " " + filler(9) + "\n" + filler(30 + 2 * len(t.split())))
+            want.append((name, 49, len(re.sub("[^a-z0-9]+", " ", t.lower()).split()), 1.0))
+    data += ["Please note: " + licences.TEMPLATES["MIT-notice"] + " Thank you for reading this.", wrap(licences.TEMPLATES["MIT-notice"], 3) + "\n" + filler(30) + "\n" + wrap(licences.TEMPLATES["MIT-notice"], 2), filler(50)]
+    want += [("MIT-notice", 2, 5, 1.0), None, None]
+    df = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")
+    for r in licences.license_scan(df).collect():
+        got, w = [tuple(p) for p in r["licence_passages"]], want[r["doc_id"]]
+        assert r["licences"] == []
+        if w:
+            assert w in got and sum(p[0] == w[0] for p in got) == 1
+        else:
+            assert got == ([] if r["doc_id"] == len(data) - 1 else [("MIT-notice", 0, 5, 1.0), ("MIT-notice", 35, 5, 1.0)])
+
+
+def test_licences_edited_passages(spark):
+    """The best window of every template, of all windows there are, is among the passages."""
+    rng = random.Random(5)
+    short = {k: t for k, t in licences.TEMPLATES.items() if len(t.split()) < 45}
+    texts = []
+    for t in short.values():
+        for _ in range(6):
+            w = t.split()
+            for _ in range(1 + len(w) // 12):
+                w[rng.randrange(len(w))] += rng.choice(("", " the", " extra words"))
+            texts.append("zero one of the " + " ".join(w).replace(" ", "\n", 3) + " the license under two three " + "four five six " * 12)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in licences.license_scan(df, templates=short).collect():
+        w = re.sub("[^a-z0-9]+", " ", r["text"].lower()).split()
+        whole = {m["template"] for m in r["licences"]}
+        for name, t in short.items():
+            b = set(licences.bigrams_of(t))
+            best = 0
+            for i in range(len(w)):
+                for j in range(i + 2, min(len(w), i + 1 + int(1.5 * (len(re.sub("[^a-z0-9]+", " ", t.lower()).split()) - 1))) + 1):
+                    a = set(f"{x} {y}" for x, y in zip(w[i:j], w[i + 1 : j]))
+                    best = max(best, 2 * len(a & b) / (len(a) + len(b)))
+            if name not in whole:
+                assert max([p["dice"] for p in r["licence_passages"] if p["template"] == name], default=0) == pytest.approx(best if best >= 0.8 else 0)
+
+
 def test_licences_odd_rows(spark):
     out = licences.license_scan(odd.documents(spark, odd.odd_rows()))
     assert out.count() == 9 and odd.kept(out) and all(r["licences"] == [] for r in out.collect())
