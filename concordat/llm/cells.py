@@ -33,6 +33,16 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 7) ->
     return centres
 
 
+def probes_for(k: int) -> int:
+    """How many cells a vector is sent to among k: pairs near the threshold lie further apart in rank as cells shrink."""
+    return max(4, math.ceil(2 * math.log2(max(1, k))))
+
+
+def nearest(x: np.ndarray, centres: np.ndarray, probes: int | None = None) -> np.ndarray:
+    """The cells that each unit vector is sent to, its home first."""
+    return np.argsort(-(x @ centres.T), axis=1, kind="stable")[:, : probes or probes_for(len(centres))]
+
+
 def _spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For each of n nodes the smallest node of its component over the links (a, b)."""
     label = np.arange(n)
@@ -48,12 +58,12 @@ def _spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def embedding_dedup(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9, cell_rows: int = 512, sample_rows: int = 20_000, max_cells: int = 2048, probes: int = 4, block_rows: int = 1024) -> DataFrame:
+def embedding_dedup(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9, cell_rows: int = 512, sample_rows: int = 20_000, max_cells: int = 2048, probes: int | None = None, block_rows: int = 1024) -> DataFrame:
     """Per row: key, n_links, component_id, kept.
 
     Equal vectors form a class and are handled once, with their number. Cells come from spherical k-means on at most
     `sample_rows` classes (the first by a hash), and every class is assigned: it lives in its nearest cell and is a
-    guest in the next `probes` - 1. Within a cell, residents meet residents and guests in blocks of about
+    guest in the next `probes` - 1, by default a number that grows with the cells (`probes_for`). Within a cell, residents meet residents and guests in blocks of about
     `block_rows`, so a cell of any size is dealt over many tasks; cosines are products of unit vectors in double
     precision, and pairs at or over the threshold link, none below. No list of pairs is made: a block returns the
     number of links of each class, and one link that ties it to its group. A pair whose classes see each other in two
@@ -81,7 +91,7 @@ def embedding_dedup(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
             out = []
             for w, p in part.groupby("width"):
                 x, centres = unit(np.array(p["v"].tolist()).reshape(len(p), w)), per[w]
-                near = np.argsort(-(x @ centres.T), axis=1, kind="stable")[:, :probes]
+                near = nearest(x, centres, probes)
                 for rep, copies, u, c in zip(p["rep"], p["copies"], x, near):
                     out += [(w, int(cell), int(c[0]), rep, copies, u, c.tolist()) for cell in c]
             yield pd.DataFrame(out, columns=["width", "cell", "home", "rep", "copies", "u", "cells"])

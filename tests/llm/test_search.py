@@ -72,6 +72,23 @@ def test_cells_recall_and_precision(spark):
     assert all(r["kept"] == (r["component_id"] == i) for i, r in got.items())
 
 
+@pytest.mark.parametrize("dims", [16, 64])
+def test_cells_recall_just_over_the_threshold_at_most_cells(dims):
+    """Pairs of cosine 0.901 in random directions, at the full 2048 cells: one is sent to the other's home."""
+    rng = np.random.default_rng(11)
+    centres = cells.spherical_kmeans(cells.unit(rng.normal(size=(20_000, dims))), 2048, rounds=4)
+    x, o = cells.unit(rng.normal(size=(4000, dims))), rng.normal(size=(4000, dims))
+    o = cells.unit(o - (o * x).sum(1, keepdims=True) * x)
+    y = 0.901 * x + np.sqrt(1 - 0.901**2) * o
+
+    def met(probes):
+        a, b = cells.nearest(x, centres, probes), cells.nearest(y, centres, probes)
+        return ((a == b[:, :1]) | (b == a[:, :1])).any(1).mean()
+
+    print(dims, "recall with 4:", met(4), "now:", met(None))
+    assert len(centres) == 2048 and met(4) < 0.9 and met(None) >= 0.98
+
+
 def test_cells_single_cell_is_exact(spark):
     x = planted(400, 8, 6)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
