@@ -42,7 +42,8 @@ class ImpactIndex:
         mine = self.ids[:, None] == own[None, :]
         out = []
         check = max(1, len(self.segments) // 8)
-        for i, (d, _, rows, values) in enumerate(self.segments, 1):
+        # Vectors of zeros only have no segment: one without postings stands in, so that they are scored too.
+        for i, (d, _, rows, values) in enumerate(self.segments or [(0, 0, np.empty(0, int), np.empty(0))], 1):
             acc[rows] += values[:, None] * queries[alive, d]
             rest[rows] -= values * values
             if i % check and i < len(self.segments):
@@ -52,7 +53,7 @@ class ImpactIndex:
             high = np.where(mine[:, alive], -np.inf, acc + slack)
             bar = np.partition(low, n - k, axis=0)[n - k] if n >= k else np.full(len(alive), -np.inf)
             member = (high >= bar) & ~mine[:, alive]
-            done = (member.sum(0) <= 4 * k) | (i == len(self.segments))
+            done = (member.sum(0) <= 4 * k) | (i >= len(self.segments))
             for j in np.flatnonzero(done):
                 c = np.flatnonzero(member[:, j])
                 s = self.vectors[c] @ queries[alive[j]]

@@ -37,6 +37,14 @@ def test_top_k_odd_rows(spark):
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_zero_vectors(spark):
+    df = spark.createDataFrame([(i, [0.0, 0.0]) for i in range(8)] + [(50, [1.0, -1.0, 0.0]), (51, [0.0, 0.0, 0.0])], "vec_id long, embedding array<float>")
+    got = [tuple(r) for r in topk.top_k(df, df.where("vec_id % 50 = 0")).orderBy("query_id", "rank").collect()]
+    assert got == [(0, r, r, 0) for r in range(1, 6)] + [(50, 1, 51, 0)]
+    index = topk.ImpactIndex(np.arange(8), np.zeros((8, 2)))
+    assert index.search(np.array([[256.0, 0.0]]), np.array([0]), 5) == [(0, i, 0) for i in range(1, 6)]
+
+
 def exact(x, t=0.9):
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     hit = u @ u.T >= t
