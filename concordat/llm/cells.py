@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, cut
+from .shared import components, cut, spanning
 from .topk import usable
 
 
@@ -43,21 +43,6 @@ def nearest(x: np.ndarray, centres: np.ndarray, probes: int | None = None) -> np
     return np.argsort(-(x @ centres.T), axis=1, kind="stable")[:, : probes or probes_for(len(centres))]
 
 
-def _spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of n nodes the smallest node of its component over the links (a, b)."""
-    label = np.arange(n)
-    while len(a):
-        la, lb = label[a], label[b]
-        low = np.minimum(la, lb)
-        before = label.copy()
-        np.minimum.at(label, la, low)
-        np.minimum.at(label, lb, low)
-        label = label[label]
-        if (label == before).all():
-            break
-    return label
-
-
 def embedding_dedup(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9, cell_rows: int = 512, sample_rows: int = 20_000, max_cells: int = 2048, probes: int | None = None, block_rows: int = 1024) -> DataFrame:
     """Per row: key, n_links, component_id, kept.
 
@@ -136,7 +121,7 @@ def embedding_dedup(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
             pb_.append(n)
         if not pa_ or not sum(map(len, pa_)):
             return pd.DataFrame({"rep": p["rep"][:0], "n": links[:0].astype("int64"), "to": p["rep"][:0]})
-        group = _spanning(len(p), np.concatenate(pa_), np.concatenate(pb_))
+        group = spanning(len(p), np.concatenate(pa_), np.concatenate(pb_))
         k = links > 0
         return pd.DataFrame({"rep": p["rep"][k], "n": links[k].astype("int64"), "to": p["rep"].to_numpy()[group[k]]})
 

@@ -12,6 +12,8 @@ import tempfile
 import numpy as np
 
 _STEP = 1 << 17
+#: Tuples that the queues of one sweep hold in memory, and names that are sorted in memory. Both lie well under what a shard has.
+MOST, INNER = 1 << 18, 1 << 20
 
 
 def _order(keys: np.ndarray, most: int) -> np.ndarray:
@@ -29,9 +31,9 @@ def _sorted(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class DiskQueues:
     """Queues of tuples, one for each range of symbols, first in first out. As the ranges are taken in order and tuples
     are only pushed to the current range or later ones, together they are a monotone priority queue. Tuples wait in a
-    short list, are dealt to their ranges, and beyond `most` go to one file as runs of their ranges."""
+    short list, are dealt to their ranges, and beyond `most` (2 MB of tuples) go to one file as runs of their ranges."""
 
-    def __init__(self, count: int, most: int = 1 << 22, wait: int = 1 << 15):
+    def __init__(self, count: int, most: int = MOST, wait: int = 1 << 13):
         self.held, self.runs = [[] for _ in range(count)], [[] for _ in range(count)]
         self.n_held, self.most, self.file = 0, most, None
         self.waiting, self.n_waiting, self.wait = [], 0, wait
@@ -164,16 +166,20 @@ def _sweep(t: np.ndarray, takes: np.ndarray, seeds: DiskQueues, ranges: np.ndarr
     np.copyto(pushes[1:], t[:-1], casting="unsafe", where=takes[:-1])
 
     def keyed(rows, seed):
-        position, common = rows[:, 0], rows[:, 1]
-        to = pushes[position]
+        """Rows of key, position, common prefix, symbol pushed to and, for a push within the range, its key."""
+        out = np.empty((5, len(rows)), np.int32)
+        out[1], out[2] = rows[:, 0], rows[:, 1]
+        to = out[3] = pushes[out[1]]
         if alone:
             own = symbols - 1 - q if down else q
-            return [np.full(len(rows), own * 2 + seed, np.int32), position, common, to, np.where(to == q, np.int32(own * 2), far)]
-        own, onward = t[position].astype(np.int32), to.astype(np.int32)
+            out[0], out[4] = own * 2 + seed, np.where(to == q, np.int32(own * 2), far)
+            return out
+        own, onward = t[out[1]].astype(np.int32), to.astype(np.int32)
         inside = (to >= 0) & (ranges[to] == q)
         if down:
             own, onward = symbols - 1 - own, symbols - 1 - onward
-        return [own * 2 + seed, position, common, to, np.where(inside, onward * 2, far)]
+        out[0], out[4] = own * 2 + seed, np.where(inside, onward * 2, far)
+        return out
 
     for q in range(count - 1, -1, -1) if down else range(count):
         pushed, given = queue.take(q), seeds.take(q, down)
@@ -181,16 +187,15 @@ def _sweep(t: np.ndarray, takes: np.ndarray, seeds: DiskQueues, ranges: np.ndarr
             given = _turned(given)
         if not len(pushed) and not len(given):
             continue
-        work = [np.concatenate(x) for x in zip(keyed(pushed, 0), keyed(given, 1))]
-        if (work[0][1:] < work[0][:-1]).any():
-            order = np.argsort(work[0], kind="stable")
-            work = [x[order] for x in work]
-        while len(work[0]):
-            ahead = [x[:_STEP] for x in work]
+        work = np.concatenate([keyed(pushed, 0), keyed(given, 1)], axis=1)
+        if (work[0, 1:] < work[0, :-1]).any():
+            work = work[:, np.argsort(work[0], kind="stable")]
+        while work.shape[1]:
+            ahead = work[:, :_STEP]
             barrier = np.minimum.accumulate(ahead[4])
             late = ahead[0][1:] > barrier[:-1]
             k = int(late.argmax()) + 1 if late.any() else len(ahead[0])
-            key, position, common, to, inner = (x[:k] for x in ahead)
+            key, position, common, to, inner = ahead[:, :k]
             own, kind = key >> 1, (key & 1).astype(bool)
             if carry:
                 common = common.copy()
@@ -215,15 +220,18 @@ def _sweep(t: np.ndarray, takes: np.ndarray, seeds: DiskQueues, ranges: np.ndarr
                     shortest[target[ends]] = rest[at[ends]]
                     fresh = np.union1d(fresh, target[ends])
                 fresh = fresh[shortest[fresh] > 0]
-            work = [x[k:] for x in work]
+            work = work[:, k:]
             if len(at):
                 here = inner[at] != far
                 queue.push(ranges[target[~here]], new[~here])
                 if here.any():
                     extra = keyed(new[here], 0)
-                    order = np.argsort(extra[0], kind="stable")
-                    place = np.searchsorted(work[0], extra[0][order], "right")
-                    work = [np.insert(w, place, e[order]) for w, e in zip(work, extra)]
+                    extra = extra[:, np.argsort(extra[0], kind="stable")]
+                    place = np.searchsorted(work[0], extra[0], "right")
+                    if place[0] == place[-1]:
+                        work = np.concatenate([work[:, : place[0]], extra, work[:, place[0] :]], axis=1)
+                    else:
+                        work = np.insert(work, place, extra, axis=1)
     queue.close()
 
 
@@ -279,8 +287,8 @@ def _ranges(t: np.ndarray, symbols: int) -> tuple[np.ndarray, int]:
 
 
 def only(blocks, wanted: np.ndarray):
-    """(positions, common prefixes) of the wanted suffixes: minima carry over those left out."""
-    positions, commons, least = [], [], np.iinfo(np.int32).max
+    """The wanted suffixes of a stream of blocks, block by block: minima of common prefixes carry over those left out."""
+    least = np.iinfo(np.int32).max
     for position, common in blocks:
         at = np.flatnonzero(wanted[position])
         if not len(at):
@@ -290,10 +298,23 @@ def only(blocks, wanted: np.ndarray):
         c[0] = min(c[0], least)
         # Each stretch ends with a wanted one; what follows the last one is carried on.
         low = np.minimum.reduceat(c[: at[-1] + 1], np.concatenate([[0], at[:-1] + 1]))
-        positions.append(position[at].astype(np.int32))
-        commons.append(low)
+        yield position[at], low
         least = int(common[at[-1] + 1 :].min()) if at[-1] + 1 < len(common) else np.iinfo(np.int32).max
-    return np.concatenate(positions), np.concatenate(commons)
+
+
+def classes(blocks, length: int):
+    """The stream regrouped: no run of suffixes that share `length` symbols is cut between two parts."""
+    held: list = []
+    for position, common in blocks:
+        opens = np.flatnonzero(common < length)
+        if len(opens) and held:
+            k = opens[-1]
+            yield tuple(np.concatenate(x) for x in zip(*held, (position[:k], common[:k])))
+            held = [(position[k:], common[k:])]
+        else:
+            held.append((position, common))
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held))
 
 
 def _in_memory(names: np.ndarray, depth: int):
@@ -323,7 +344,7 @@ def _in_memory(names: np.ndarray, depth: int):
     return order.astype(np.int64), common.astype(np.int64)
 
 
-def suffix_blocks(t: np.ndarray, symbols: int, depth: int, inner: int = 1 << 22):
+def suffix_blocks(t: np.ndarray, symbols: int, depth: int, inner: int = INNER):
     """All suffixes of `t`, symbols below `symbols`, in order by their first `depth` symbols at least: blocks of
     (positions, common prefixes with the one before; those of `depth` or more may be shorter than the whole).
 
@@ -337,34 +358,33 @@ def suffix_blocks(t: np.ndarray, symbols: int, depth: int, inner: int = 1 << 22)
     marked = np.zeros(len(t) + 1, bool)
     marked[lms] = True
     order = np.concatenate([p[marked[p]] for p, _ in _induce(t, small, _tuples(lms, 1), ranges, count, symbols, False)])
+    which = np.empty(len(t), np.int32)  # the number of each left-most small suffix
+    which[lms] = np.arange(len(lms))
+    which = which[order]
+    del marked
     # Equal neighbours get one name: as long, and equal up to and with the next left-most small position.
-    size = np.zeros(len(t), np.int32)
-    size[lms] = np.diff(lms, append=len(t) - 1) + 1
-    length = size[order]
+    size = (np.diff(lms, append=len(t) - 1) + 1).astype(np.int32)
+    length = size[which]
     new, k = np.ones(len(order), bool), 0
     new[1:] = length[1:] != length[:-1]
     if t.dtype == np.uint16:  # the first eight symbols as two words
         ahead = np.append(t, np.zeros(8, np.uint16))
-        word = np.empty(len(t), np.uint64)
         for k in (4, 8):
             w = np.zeros(len(lms), np.uint64)
             for j in range(k - 4, k):
-                w = (w << np.uint64(16)) | np.where(j < size[lms], ahead[lms + j], 0).astype(np.uint64)
-            word[lms] = w
-            w = word[order]
+                w = (w << np.uint64(16)) | np.where(j < size, ahead[lms + j], 0).astype(np.uint64)
+            w = w[which]
             new[1:] |= w[1:] != w[:-1]
-        del ahead, word
+        del ahead, w
     live = np.flatnonzero(~new)
     while len(live):
         live = live[length[live] > k]
         same = t[order[live - 1] + k] == t[order[live] + k]
         new[live[~same]] = True
         live, k = live[same], k + 1
-    del size, length
-    rank = np.empty(len(t), np.int32)
-    rank[order] = np.cumsum(new) - 1
-    names = rank[lms]
-    del rank, marked, order
+    names = np.empty(len(lms), np.int32)
+    names[which] = np.cumsum(new) - 1
+    del size, length, which, order
     if new.all():
         at, shared = np.argsort(names), np.zeros(len(names), np.int64)
     elif len(names) <= inner:

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, cut
+from .shared import components, cut, spanning
 from .toxicity import batches
 
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -191,8 +191,6 @@ def _overlaps(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarra
 
 def _block_links(p, width: int, percent: int, need: list[int], same: bool):
     """Links between the two sides of a block of one family, of pairs in different components that share a band."""
-    from .cells import _spanning
-
     sides = p["side"].to_numpy()
     a, b = (np.arange(len(p)),) * 2 if same else (np.flatnonzero(sides == 0), np.flatnonzero(sides == 1))
     c, n = p["c"].to_numpy(), p["n"].to_numpy()
@@ -218,7 +216,7 @@ def _block_links(p, width: int, percent: int, need: list[int], same: bool):
         sets[i] = shingles(texts[i], width)
     common = _overlaps(sets, left, right)
     good = 100 * common >= percent * (n[left] + n[right] - common)
-    group = _spanning(len(p), left[good], right[good])
+    group = spanning(len(p), left[good], right[good])
     linked = np.flatnonzero(group != np.arange(len(p)))
     ids = p["id"].to_numpy()
     return ids[linked], ids[group[linked]]

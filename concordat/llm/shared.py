@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +16,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The folder all executors share. Only a session without one (a test) gets a local folder."""
+    """The folder all executors share: spark.checkpoint.dir. Without that setting a cluster's tables go beside those of
+    the warehouse, which is shared too; only a local session, as in tests, gets a folder of this machine, gone at exit."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="concordat-")
+        if spark.sparkContext.master.split("[")[0] == "local":
+            folder = tempfile.mkdtemp(prefix="concordat-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        else:
+            folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/concordat-work-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
@@ -66,3 +74,37 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         nxt = step.select(F.col("node").alias("component"), "to")
         out = out.join(nxt, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
     return cut(out) if len(maps) > 1 else out
+
+
+def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n nodes the smallest node of its component over the links (a, b)."""
+    label = np.arange(n)
+    while len(a):
+        la, lb = label[a], label[b]
+        low = np.minimum(la, lb)
+        before = label.copy()
+        np.minimum.at(label, la, low)
+        np.minimum.at(label, lb, low)
+        label = label[label]
+        if (label == before).all():
+            break
+    return label
+
+
+def sieve(keys: DataFrame, columns: list[str], words: int = 1 << 20):
+    """A test of rows against the keys in `columns` of `keys`: a function of (rows, their columns) that adds a boolean
+    `may`, false only for rows whose key is not among them.
+
+    It is a bitmap of 64 bits a word, so what is broadcast has at most `words` rows however many keys there are. Beyond
+    that fill it lets more rows through, which costs a shuffle of these but changes no result."""
+    place = lambda cols: F.pmod(F.xxhash64(*cols), F.lit(64 * words))
+    bits = keys.select(place([F.col(f"`{c}`") for c in columns]).alias("place"))
+    bits = bits.groupBy(F.shiftright("place", 6).alias("sieve_word")).agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("sieve_bits"))
+    bits = cut(bits)
+
+    def test(rows: DataFrame, cols: list) -> DataFrame:
+        known = rows.withColumn("sieve_place", place(cols)).join(F.broadcast(bits), F.shiftright("sieve_place", 6) == F.col("sieve_word"), "left")
+        may = F.coalesce(F.expr("getbit(sieve_bits, cast(sieve_place & 63 as int)) = 1"), F.lit(False))
+        return known.withColumn("may", may).drop("sieve_place", "sieve_word", "sieve_bits")
+
+    return test
