@@ -16,6 +16,19 @@ from pyspark.sql import DataFrame
 SPACE = "▁"
 
 
+def _between_boundaries(pieces: Iterable[str]) -> re.Pattern | None:
+    """A pattern of what stands between two boundaries that no piece crosses, as far as kinds of characters tell: no
+    piece with a space after another character, none with a letter beside another sign. None if some piece has."""
+    pieces = list(pieces)
+    if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces):
+        return None
+    letters = "[" + "".join(re.escape(c) for c in sorted({c for p in pieces for c in p if c.isalpha()})) + "]"
+    others = f"[^{SPACE}{letters[1:]}"
+    if letters == "[]" or any(re.search(f"{letters}{others}|{others}{letters}", p) for p in pieces):
+        return re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+    return re.compile(f"{SPACE}*{letters}+|{SPACE}*{others}+|{SPACE}+")
+
+
 class PieceCodec:
     """Best segmentation of a text under a model's piece scores, with byte fallback.
 
@@ -24,7 +37,10 @@ class PieceCodec:
     of a text that isn't empty; a literal U+2581 in a text is written as its bytes, so decoding is exact.
 
     Positions further back than the longest piece can't be reached, so only that window of scores is kept. When all
-    surviving paths go through one boundary, the ids before it are final and leave the window.
+    surviving paths go through one boundary, the ids before it are final and leave the window. Between two characters
+    that no piece holds side by side there is such a boundary on every path, whatever the scores: there the window
+    always commits, and what it commits from one of these to the next depends on these characters alone, so it is
+    remembered by them.
     """
 
     def __init__(self, model: bytes, cache: int = 1 << 17):
@@ -40,90 +56,74 @@ class PieceCodec:
         for b, i in enumerate(self.byte_ids):
             self.bytes[i] = bytes([b])
         self.window = max(map(len, self.table))
-        # Every beginning of a piece: its score and id, or -1 where it is only a beginning.
-        self.arcs = {p[:n]: (0.0, -1) for p in self.table for n in range(1, len(p))} | self.table
+        # The pieces as a tree: for a character what may follow, the score and the id, which is -1 for a mere beginning.
+        self.tree: dict = {}
+        for p, (score, i) in self.table.items():
+            at = self.tree
+            for c in p[:-1]:
+                at = at.setdefault(c, [{}, 0.0, -1])[0]
+            at.setdefault(p[-1], [{}, 0.0, -1])[1:] = [score, i]
         self.lowest = min(s for s, _ in self.table.values() if s > -1e8) - 10
-        # No piece has a space after another character: a boundary there lies on every path.
-        self.split = None if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.table) else re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.split = _between_boundaries(self.table)
         self.known, self.older, self.most = {}, {}, cache  # two generations: memory is bounded, frequent chunks stay
 
-    def stream(self, characters: Iterable[str]) -> Iterator[tuple[int, ...]]:
-        """Ids of a stream of characters (spaces as U+2581), given out as soon as they are final."""
-        table, reach = self.table, self.window
-        recent, base, end = "", 0, 0  # characters from position base on
-        best = {0: (0.0, -1, ())}  # position: score, where its last piece starts, that piece's ids
-        final = 0
-        for c in characters:
-            recent += c
-            end += 1
-            chosen = None
-            for start in range(max(final, end - reach), end):
-                if start in best:
-                    arc = table.get(recent[start - base :])
-                    if arc is None and start == end - 1:
-                        arc = (self.lowest, None)
-                    if arc and (chosen is None or best[start][0] + arc[0] > chosen[0]):
-                        chosen = (best[start][0] + arc[0], start, (arc[1],) if arc[1] is not None else tuple(self.byte_ids[b] for b in c.encode()))
-            best[end] = chosen
-            if end - final >= 2 * reach:  # look for the boundary that all survivors share
-                live = {p for p in best if p > end - reach}
-                while len(live) > 1:
-                    live.add(best[live_max := max(live)][1])
-                    live.discard(live_max)
-                common = live.pop()
-                if common > final:
-                    yield self._path(best, final, common)
-                    best = {p: v for p, v in best.items() if p >= common}
-                    final = common
-                recent, base = recent[max(final, end - reach) - base :], max(final, end - reach)
-        if end > final:
-            yield self._path(best, final, end)
-
-    @staticmethod
-    def _path(best, first: int, last: int) -> tuple[int, ...]:
-        parts = []
-        while last > first:
-            _, start, ids = best[last]
-            parts.append(ids)
-            last = start
-        return tuple(x for ids in reversed(parts) for x in ids)
-
-    def _short(self, chunk: str) -> bytes:
-        """The same for a chunk between two such boundaries that is hardly longer than the window."""
-        arc_of, lowest, reach, n = self.arcs.get, self.lowest, self.window, len(chunk)
-        best, back, arcs = [-inf] * (n + 1), [0] * (n + 1), [0] * (n + 1)
-        best[0] = 0.0
-        for start in range(n):
-            so_far, single = best[start], False
-            for end in range(start + 1, min(n, start + reach) + 1):
-                arc = arc_of(chunk[start:end])
-                if arc is None:
-                    break
-                if arc[1] >= 0:
-                    if end == start + 1:
-                        single = True
-                    score = so_far + arc[0]
-                    if score > best[end]:
-                        best[end], back[end], arcs[end] = score, start, arc[1]
-            if not single and so_far + lowest > best[start + 1]:
-                best[start + 1], back[start + 1], arcs[start + 1] = so_far + lowest, start, -1
-        ids, end = [], n
-        while end:
-            start = back[end]
-            ids += [self.byte_ids[b] for b in reversed(chunk[start:end].encode())] if arcs[end] < 0 else [arcs[end]]
-            end = start
-        return array("i", ids[::-1]).tobytes()
-
-    def _long(self, chunk: str) -> bytes:
-        return b"".join(array("i", ids).tobytes() for ids in self.stream(chunk))
+    def stream(self, parts: Iterable[str]) -> Iterator[list[int]]:
+        """Ids of a stream of strings (spaces as U+2581), given out as soon as they are final."""
+        tree, reach, lowest, byte_ids = self.tree, self.window, self.lowest, self.byte_ids
+        parts, text, ended = iter(parts), "", False  # the text from the last commit on
+        best, back, arcs = [0.0], [0], [0]  # by position: score, length and id of the last piece; -1: bytes
+        start = 0
+
+        def path(end: int) -> list[int]:
+            ids = []
+            while end:
+                ids += [byte_ids[b] for b in reversed(text[end - 1].encode())] if arcs[end] < 0 else [arcs[end]]
+                end -= back[end]
+            return ids[::-1]
+
+        while not ended or start < len(text):
+            while not ended and len(text) - start < reach:
+                more = next(parts, None)
+                ended = more is None
+                text += more or ""
+            new = len(text) + 1 - len(best)
+            best += [-inf] * new
+            back += [0] * new
+            arcs += [0] * new
+            for start in range(start, len(text) if ended else len(text) - reach + 1):
+                so_far, node, end = best[start], tree, start
+                for c in text[start : start + reach]:
+                    node = node.get(c)
+                    if node is None:
+                        break
+                    end += 1
+                    node, score, i = node
+                    if i >= 0 and so_far + score > best[end]:
+                        best[end], back[end], arcs[end] = so_far + score, end - start, i
+                if so_far + lowest > best[start + 1] and ((only := tree.get(text[start])) is None or only[2] < 0):
+                    best[start + 1], back[start + 1], arcs[start + 1] = so_far + lowest, 1, -1
+                if start + 1 >= 2 * reach:  # look for the boundary that all survivors share
+                    live = {e for e in range(start + 1, min(start + reach, len(text)) + 1) if best[e] > -inf}
+                    while len(live) > 1:
+                        last = max(live)
+                        live.discard(last)
+                        live.add(last - back[last])
+                    common = live.pop()
+                    if common > 0:
+                        yield path(common)
+                        text, best, back, arcs = text[common:], best[common:], back[common:], arcs[common:]
+                        start -= common
+                        break
+            start += 1
+        if text:
+            yield path(len(text))
 
     def _learn(self, chunk: str) -> bytes:
-        if len(chunk) > 4 * self.window:
-            return self._long(chunk)
-        ids = self.older.get(chunk) or self._short(chunk)
-        if len(self.known) >= self.most:
-            self.known, self.older = {}, self.known
-        self.known[chunk] = ids
+        ids = self.older.get(chunk) or b"".join([array("i", ids).tobytes() for ids in self.stream((chunk,))])
+        if len(chunk) <= 4 * self.window:  # what is longer hardly comes again
+            if len(self.known) >= self.most:
+                self.known, self.older = {}, self.known
+            self.known[chunk] = ids
         return ids
 
     def _part(self, text: str) -> bytes:

@@ -165,7 +165,7 @@ def repeated_in_shard(parts, length: int):
         yield pa.RecordBatch.from_arrays([pa.array([groups[i] for i in got], pa.int64()), pa.array([names[i] for i in got], pa.binary()), pa.array(low[got], pa.int64()), pa.array(high[got] + length, pa.int64())], names=["a", "c", "low", "high"])
 
 
-def remove_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id", length: int = 400, shard_bytes: int = 8_000_000, hot_segments: int = 2048) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id", length: int = 400, shard_bytes: int = 4_000_000, hot_segments: int = 2048) -> DataFrame:
     """Every row of `docs` plus a struct `repeats`: n_bytes, n_removed, spans (start, end), kept (the bytes left).
 
     Texts are UTF-8 bytes. Each byte goes that is covered by a string of `length` bytes that also starts anywhere
