@@ -27,18 +27,24 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Documents that had no words before stay. n_chars follows the new text. Columns as in `docs`."""
     out = lines.line_dedup(docs)
-    out = out.where("dedup.n_removed = 0 or length(trim(dedup.text)) > 0")
+    out = out.where(F.col("dedup.n_removed").eqNullSafe(0) | F.col("dedup.text").rlike(r"[^\x20\x09-\x0D]"))
     new = {"text": F.col("dedup.text"), "n_chars": F.when(F.col("dedup.n_removed") > 0, F.length("dedup.text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None}
     return out.select(*[new[c].alias(c) if new.get(c) is not None else F.col(f"`{c}`") for c in docs.columns])
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: five-word shingles, similarity 0.8; repeated rows once.
-
-    Rows with a null doc_id stay. Columns as in `docs`."""
-    kept = minhash.near_dedup(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*[f"`{c}`" for c in docs.columns]).unionByName(docs.where("doc_id is null"))
+    """One document of each near-duplicate group stays: five-word shingles, similarity 0.8.
+
+    A document is a doc_id and a text: different texts under one doc_id are documents of their own, only rows that
+    repeat both come back once. Of a group the smallest doc_id stays. Rows with a null doc_id stay. Columns as in
+    `docs`; `one_of_each_key` may not be one of them."""
+    bits = F.col("doc_id").cast("long")  # the sign turned round, so that bytes sort as numbers do
+    order = F.unhex(F.lpad(F.hex(bits.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"))
+    name = F.when(F.col("doc_id").isNotNull(), F.concat(order, F.unhex(F.lpad(F.hex(F.xxhash64("text")), 16, "0"))))
+    keyed = docs.withColumn("one_of_each_key", name)
+    kept = minhash.near_dedup(keyed, key="one_of_each_key").where("kept and one_of_each_key is not null").select("one_of_each_key").distinct()
+    once = keyed.where("doc_id is not null").join(kept, "one_of_each_key", "left_semi").dropDuplicates(["one_of_each_key"])
+    return once.select(*[f"`{c}`" for c in docs.columns]).unionByName(docs.where("doc_id is null"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
