@@ -113,3 +113,32 @@ def test_cells_odd_rows(spark):
     got = sorted((tuple(r) for r in cells.embedding_dedup(df).collect()), key=str)
     assert got == sorted([(1, 2, 1, True), (2, 2, 1, False), (8, 2, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 0, 5, True), (6, 0, 6, True), (7, 0, 7, True), (None, 0, None, True)], key=str)
     assert cells.embedding_dedup(df.limit(0)).count() == 0
+
+
+def test_top_k_stops_on_proof():
+    """On clustered vectors queries stop early, on random ones later; the results are exact either way."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(100, 64))
+    clustered = centres[rng.integers(0, 100, 2000)] + 0.3 * rng.normal(size=(2000, 64))
+    for x, most in ((clustered, 0.5), (rng.normal(size=(2000, 64)), 0.95)):
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        v = np.floor(256 * x)
+        index = topk.ImpactIndex(np.arange(2000), v)
+        got = sorted((i, j, s) for i, j, s in index.search(v[:40], np.arange(40), 5))
+        assert got == sorted((i, j, s) for i, _, j, s in best(np.arange(2000), x, range(40)))
+        assert index.processed <= most * index.whole
+
+
+def test_top_k_blocks_and_clashing_names(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(120, 6))
+    df = spark.createDataFrame([(i, v.tolist(), "a", "b", "c", "d") for i, v in enumerate(x)], "vec_id long, embedding array<double>, id string, v string, shard string, rank string")
+    got = sorted(tuple(r) for r in topk.top_k(df, df.where("vec_id % 3 = 0"), shard_rows=32, block_rows=7).collect())
+    assert got == best(np.arange(120), x, range(0, 120, 3))
+
+
+def test_cells_clashing_names_and_repeated_rows(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.01]), (3, [0.0, 1.0])]
+    df = spark.createDataFrame([(*r, "x", "y", "z", "u") for r in rows], "vec_id long, embedding array<double>, id string, v string, rep string, cell string")
+    got = sorted(tuple(r) for r in cells.embedding_dedup(df).collect())
+    assert got == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]
