@@ -60,6 +60,13 @@ def normalize_name(x: Column, most: int = 100) -> Column:
     return truncate_name(F.when(bare == "", base).otherwise(bare), most)
 
 
+def normalize_name_cased(x: Column, most: int = 100) -> Column:
+    """The same with its case kept; legal forms go where they stand in upper case."""
+    base = normalize_text(x, uppercase=False)
+    bare = strip_legal_terms(base)
+    return truncate_name(F.when(bare == "", base).otherwise(bare), most)
+
+
 def singular(w: Column) -> Column:
     """AUX to AL, a final S but not SS, a final X; alphabetic tokens of 5 characters or more; else null."""
     n = F.length(w)
@@ -99,8 +106,10 @@ def clean_text(x: Column, uppercase: bool = False) -> Column:
     return F.upper(t) if uppercase else t
 
 
-def numeric_tokens(x: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.coalesce(x, F.lit("")), F.lit(r"\b(\d{1,6})\b"), F.lit(1)))
+def numeric_tokens(x: Column, most: int = 6) -> Column:
+    """Distinct numbers of up to `most` digits; beyond 6 every run of digits counts, inside words too."""
+    pattern = r"\b(\d{1,%d})\b" % most if most <= 6 else r"(\d+)"
+    return F.array_distinct(F.regexp_extract_all(F.coalesce(x, F.lit("")), F.lit(pattern), F.lit(1)))
 
 
 def name_tokens(x: Column, least: int = 2, stopwords: list[str] = NAME_STOPWORDS) -> Column:
@@ -153,7 +162,7 @@ def strip_location(name: Column, city: Column, postcode: Column, insee: Column)
 
 def aliases(name: Column) -> Column:
     """Normalised texts in round brackets, of 3 characters or more, no listed word, no number."""
-    found = F.transform(F.regexp_extract_all(F.coalesce(name, F.lit("")), F.lit(r"\(([^)]+)\)"), F.lit(1)), normalize_text)
+    found = F.transform(F.regexp_extract_all(F.coalesce(name, F.lit("")), F.lit(r"\(([^)]+)\)"), F.lit(1)), lambda a: normalize_text(a))
     return F.filter(found, lambda a: (F.length(a) >= 3) & ~a.isin(ALIAS_BLACKLIST) & ~a.rlike(r"^\d+$"))
 
 

@@ -14,7 +14,7 @@ NAME_SOURCES = ["ETAB_ENSEIGNE", "ETAB_ENSEIGNE_X", "ETAB_DENOM", "PM_DIRIGEANT"
 
 def enrich(sites: DataFrame, entities: DataFrame, key: str, officers: DataFrame | None = None, officer_name: str = "denomination") -> DataFrame:
     """Sites with their legal unit, one row each even if the unit table repeats a key, and the officers' names."""
-    units = keep_first(entities, [key], sorted(c for c in entities.columns if c != key))
+    units = keep_first(entities, [key], sorted(c for c in entities.columns if c != key) or [key])
     out = sites.join(units, key, "left")
     if officers is not None:
         names = officers.where(F.lower("type_dirigeant") == "personne morale").groupBy(key).agg(F.array_join(F.array_sort(F.collect_set(officer_name)), "|").alias("pm_dirigeant_names"))
@@ -110,3 +110,28 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     if "_seq" in new.columns:
         new = keep_first(new, key, [F.desc("_seq")]).drop("_seq")
     return old.join(new.select(*key), key, "left_anti").unionByName(new, allowMissingColumns=True)
+
+
+def raw_named(columns: list[str]) -> Column:
+    """Whether any raw name column holds something."""
+    return F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in columns]).isNotNull()
+
+
+def diffusible(status: str) -> Column:
+    return F.coalesce(F.col(status) == "O", F.lit(False))
+
+
+def unique_codes(rows: DataFrame, code: str) -> DataFrame:
+    """Distinct trimmed codes in order; empty ones go."""
+    return rows.select(F.trim(code).alias(code)).where(F.col(code) != "").distinct().orderBy(code)
+
+
+def codes_by_section(codes: DataFrame, code: str) -> DataFrame:
+    from ..functions.codes import naf_section
+
+    return codes.withColumn("section", naf_section(F.col(code))).where("section is not null").groupBy("section").agg(F.array_sort(F.collect_list(code)).alias("codes"))
+
+
+def partition_codes(sites: DataFrame, code: str) -> DataFrame:
+    """The codes of a partitioned table, with their rows."""
+    return sites.where(F.col(code).isNotNull()).groupBy(code).agg(F.count("*").alias("row_count"))

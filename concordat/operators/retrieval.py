@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import dot
+from ..staging import cut
 from .blocking import ranked
 
 
@@ -60,7 +63,7 @@ def tfidf_top_k(queries: DataFrame, docs: DataFrame, *, by: list[str], query_id:
 
     The index's idf weighs both sides. Scores are summed over a join of postings; ties go to the smaller id.
     """
-    post = postings(docs, by, doc_id, doc_terms)
+    post = cut(postings(docs, by, doc_id, doc_terms))  # three uses
     idf = smooth_idf(post, docs, by, min_df=min_df, max_df=max_df)
     d = weighted(post, idf, by, doc_id, norm)
     q = weighted(postings(queries, by, query_id, query_terms), idf, by, query_id, norm).withColumnRenamed("w", "qw")
@@ -97,12 +100,52 @@ def pad_pool(pool: DataFrame, everything: DataFrame, *, query_id: str, doc_id: s
     return pool.select(query_id, doc_id).unionByName(rest.select(query_id, doc_id))
 
 
-def dense_top_k(queries: DataFrame, docs: DataFrame, *, by: list[str], query_id: str, doc_id: str, vector: str, k: int, round_to: int = 6) -> DataFrame:
-    """The k best inner products within a block, the row itself left out."""
-    q = queries.select(*by, F.col(doc_id).alias(query_id), F.col(vector).alias("_q"))
-    pairs = q.join(docs.select(*by, doc_id, F.col(vector).alias("_d")), by).where(F.col(query_id) != F.col(doc_id))
-    scores = pairs.select(*by, query_id, doc_id, F.round(dot(F.col("_q"), F.col("_d")), round_to).alias("score"))
-    return ranked(scores, [*by, query_id], [F.desc("score"), doc_id]).where(F.col("rank") <= k)
+def _best_in_block(query_id: str, doc_id: str, k: int, round_to: int, by: list[str]):
+    def run(key, q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
+        names = [*by, query_id, doc_id, "score"]
+        if not len(q) or not len(d):
+            return pd.DataFrame(columns=names)
+        d = d.sort_values(doc_id)
+        x, y = np.array(q["v"].tolist(), float), np.array(d["v"].tolist(), float)
+        ids, own = d[doc_id].to_numpy(), q[query_id].to_numpy()
+        parts = []
+        for at in range(0, len(x), 512):
+            s = np.round(x[at : at + 512] @ y.T, round_to)
+            s[own[at : at + 512, None] == ids[None, :]] = -np.inf
+            best = np.argsort(-s, axis=1, kind="stable")[:, :k]
+            rows = np.repeat(np.arange(len(s)), best.shape[1])
+            parts.append(pd.DataFrame({query_id: own[at : at + 512][rows], doc_id: ids[best.ravel()], "score": s[rows, best.ravel()]}))
+        out = pd.concat(parts)
+        out = out[np.isfinite(out["score"])]
+        for name, value in zip(by, key):
+            out[name] = value
+        return out[names]
+
+    return run
+
+
+def dense_top_k(queries: DataFrame, docs: DataFrame, *, by: list[str], query_id: str, doc_id: str, vector: str, k: int, round_to: int = 6, block_rows: int = 4096) -> DataFrame:
+    """The k best inner products within a group, the row itself left out; ties go to the smaller id.
+
+    Groups are cut into blocks on both sides; a task holds one block of queries and one of documents and gives `k` rows
+    a query, so no pairs are listed and a group of any size is dealt over many tasks.
+    """
+    some = F.col(vector).isNotNull()
+    mine = [f"q_{b}" for b in by]
+    q = queries.where(some).select(*[F.col(b).alias(m) for b, m in zip(by, mine)], F.col(doc_id).alias(query_id), F.col(vector).alias("v"))
+    d = docs.where(some).select(*by, doc_id, F.col(vector).alias("v"))
+    nq = q.groupBy(*mine).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("nq"))
+    nd = d.groupBy(*by).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("nd"))
+    same = [F.col(m) == F.col(b) for b, m in zip(by, mine)]
+    sizes = cut(nq.join(nd, same) if by else nq.crossJoin(nd))  # without groups one row
+    own = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    meet = lambda df, names: df.join(sizes.select(*names, "nq", "nd"), names) if by else df.crossJoin(F.broadcast(sizes))
+    q = meet(q, mine).select(*mine, query_id, "v", own(query_id, "nq").alias("i"), every("nd").alias("j"))
+    d = meet(d, by).select(*by, doc_id, "v", every("nq").alias("i"), own(doc_id, "nd").alias("j"))
+    kinds = [f"`{c}` {t}" for c, t in [*((b, queries.schema[b].dataType.simpleString()) for b in by), (query_id, queries.schema[doc_id].dataType.simpleString()), (doc_id, docs.schema[doc_id].dataType.simpleString())]]
+    found = q.groupBy(*mine, "i", "j").cogroup(d.groupBy(*by, "i", "j")).applyInPandas(_best_in_block(query_id, doc_id, k, round_to, by), ", ".join([*kinds, "score double"]))
+    return ranked(found, [*by, query_id], [F.desc("score"), doc_id]).where(F.col("rank") <= k)
 
 
 def top_two_gap(ranked_rows: DataFrame, *, query: list[str]) -> DataFrame:
@@ -115,3 +158,77 @@ def inverted_lists(n: int) -> tuple[int, int]:
     """Lists and probes of an approximate index of n vectors; under 10 000 an exact one is used."""
     lists = max(16, int(math.sqrt(n)))
     return lists, min(16, lists)
+
+
+def fit_lists(sample: np.ndarray, lists: int, rounds: int = 10, seed: int = 3) -> np.ndarray:
+    """Unit centres of the lists, by k-means on unit vectors."""
+    rng = np.random.default_rng(seed)
+    x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    centres = x[rng.choice(len(x), min(lists, len(x)), replace=False)]
+    for _ in range(rounds):
+        home = (x @ centres.T).argmax(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, home, x)
+        length = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(length > 0, sums / np.maximum(length, 1e-300), centres)
+    return centres
+
+
+def _nearest_lists(rows: DataFrame, centres: np.ndarray, key: str, vector: str, probes: int) -> DataFrame:
+    def run(parts):
+        for p in parts:
+            near = np.argsort(-(np.array(p["v"].tolist(), float).reshape(len(p), -1) @ centres.T), axis=1, kind="stable")[:, :probes]
+            yield pd.DataFrame({key: np.repeat(p[key].to_numpy(), near.shape[1]), "v": [v for v in p["v"] for _ in range(near.shape[1])], "list": near.ravel().astype("int32")})
+
+    return rows.select(key, F.col(vector).alias("v")).where("v is not null").mapInPandas(run, f"{key} {rows.schema[key].dataType.simpleString()}, v array<float>, list int")
+
+
+def build_dense_index(docs: DataFrame, path: str, *, doc_id: str, vector: str, sample_rows: int = 20_000) -> None:
+    """Write the vectors by list, and the centres; an index of under 10 000 vectors has one list. Centres are fitted on at
+    most `sample_rows` vectors, the first by a hash; every vector is indexed."""
+    n = docs.where(F.col(vector).isNotNull()).count()
+    lists = inverted_lists(n)[0] if n >= 10_000 else 1
+    sample = docs.where(F.col(vector).isNotNull()).select(doc_id, vector).orderBy(F.xxhash64(doc_id), doc_id).limit(sample_rows).toPandas()[vector]
+    centres = fit_lists(np.array(sample.tolist(), float), lists) if n else np.zeros((1, 1))
+    _nearest_lists(docs, centres, doc_id, vector, 1).write.mode("overwrite").partitionBy("list").parquet(f"{path}/vectors")
+    docs.sparkSession.createDataFrame([(i, c.tolist()) for i, c in enumerate(centres)], "list int, centre array<double>").write.mode("overwrite").parquet(f"{path}/centres")
+
+
+def search_dense_index(queries: DataFrame, path: str, *, query_id: str, doc_id: str, vector: str, k: int, probes: int | None = None, round_to: int = 6) -> DataFrame:
+    """(query, doc, score, rank): the k best inner products among the vectors of the lists next to each query."""
+    spark = queries.sparkSession
+    centres = np.array([r["centre"] for r in spark.read.parquet(f"{path}/centres").orderBy("list").collect()])  # sqrt(n) rows
+    near = _nearest_lists(queries.withColumnRenamed(doc_id, query_id), centres, query_id, vector, probes or min(16, len(centres)))
+    vectors = spark.read.parquet(f"{path}/vectors")
+    found = dense_top_k(near.withColumnRenamed(query_id, doc_id).withColumnRenamed("v", vector), vectors.withColumnRenamed("v", vector), by=["list"], query_id=query_id, doc_id=doc_id, vector=vector, k=k, round_to=round_to)
+    return ranked(found.drop("rank", "list"), [query_id], [F.desc("score"), doc_id]).where(F.col("rank") <= k)
+
+
+def build_term_index(docs: DataFrame, path: str, *, by: list[str], doc_id: str, terms: Column, min_df: int = 1, max_df: float = 1.0, norm: bool = False) -> None:
+    """Write the weights of all postings and of all terms: what a process loads instead of building anew."""
+    post = postings(docs, by, doc_id, terms)
+    idf = smooth_idf(post, docs, by, min_df=min_df, max_df=max_df)
+    idf.write.mode("overwrite").parquet(f"{path}/idf")
+    weighted(post, docs.sparkSession.read.parquet(f"{path}/idf"), by, doc_id, norm).write.mode("overwrite").parquet(f"{path}/postings")
+
+
+def search_term_index(queries: DataFrame, path: str, *, by: list[str], query_id: str, doc_id: str, terms: Column, k: int, norm: bool = False) -> DataFrame:
+    """As `tfidf_top_k`, on an index that `build_term_index` wrote."""
+    read = queries.sparkSession.read
+    q = weighted(postings(queries, by, query_id, terms), read.parquet(f"{path}/idf"), by, query_id, norm).withColumnRenamed("w", "qw")
+    scores = q.join(read.parquet(f"{path}/postings"), [*by, "term"]).groupBy(*by, query_id, doc_id).agg(F.round(F.sum(F.col("qw") * F.col("w")), 6).alias("score"))
+    return ranked(scores, [*by, query_id], [F.desc("score"), doc_id]).where(F.col("rank") <= k)
+
+
+def encoded(texts: DataFrame, encoder: Callable[[], Callable[[list[str]], list]], *, text: str, vector: str = "vector") -> DataFrame:
+    """Texts with sentence vectors of an injected encoder, which is made once a task; equal texts of a batch are encoded once."""
+    from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
+
+    def run(parts):
+        model = encoder()
+        for p in parts:
+            known = p[text].fillna("").drop_duplicates()
+            vectors = dict(zip(known, model(known.tolist())))
+            yield p.assign(**{vector: [[float(x) for x in vectors[t]] for t in p[text].fillna("")]})
+
+    return texts.mapInPandas(run, StructType([*texts.schema.fields, StructField(vector, ArrayType(FloatType()))]))

@@ -153,3 +153,34 @@ def fit_isotonic(rows: DataFrame, score: str = "score", label: str = "label"):
 def calibrated(model, rows: DataFrame, score: str = "score", name: str = "calibrated") -> DataFrame:
     out = model.setPredictionCol("_p").transform(rows)
     return out.withColumn(name, F.least(F.greatest(F.col("_p"), F.lit(0.0)), F.lit(1.0))).drop("_p")
+
+
+def fit_sigmoid(rows: DataFrame, score: str = "score", label: str = "label"):
+    """Platt scaling: a logistic regression on the score alone."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    return Pipeline(stages=[VectorAssembler(inputCols=[score], outputCol="_x"), LogisticRegression(featuresCol="_x", labelCol=label, maxIter=200, tol=1e-10)]).fit(rows)
+
+
+def ratio_replacing_zero(first: Column, second: Column) -> Column:
+    """First over second score; a second of exactly 0 counts as 0.001, a missing one gives null."""
+    return first / F.when(second == 0, 0.001).otherwise(second)
+
+
+def gap_and_ratio_of_place(top: DataFrame, *, query: str) -> DataFrame:
+    """Rows with `place` from 0, gap and ratio of their query: a second score of 0 or less gives the ratio 100, a single
+    row the gap 0 and the ratio 1."""
+    two = top.groupBy(query).agg(F.max(F.when(F.col("rank") == 1, F.col("score"))).alias("_1"), F.max(F.when(F.col("rank") == 2, F.col("score"))).alias("_2"))
+    ratio = F.when(F.col("_2").isNull(), 1.0).when(F.col("_2") > 0, F.col("_1") / F.col("_2")).otherwise(100.0)
+    return top.join(two, query).select("*", (F.col("rank") - 1).alias("place"), F.coalesce(F.col("_1") - F.col("_2"), F.lit(0.0)).alias("score_gap"), ratio.alias("score_ratio")).drop("_1", "_2")
+
+
+def places_outcome(*, query: Column, error: Column, found: Column, crm_department: Column, place_department: Column, rerun_error: Column, rerun_status: Column) -> Column:
+    """The reason of a decision by places, in the order in which they are looked at; 'ok' is a match."""
+    return (
+        F.when(F.coalesce(query, F.lit("")) == "", "empty_query").when(error.isNotNull(), F.concat(F.lit("api_error: "), error)).when(~found, "no_places_results")
+        .when(crm_department.isNull() | place_department.isNull(), "missing_dept_guard").when(crm_department != place_department, F.concat(F.lit("dept_mismatch: crm="), crm_department, F.lit(" places="), place_department))
+        .when(rerun_error.isNotNull(), F.concat(F.lit("xgb_rerun_error: "), rerun_error)).when(rerun_status != "AUTO", "xgb_rerun_not_auto").otherwise("ok")
+    )

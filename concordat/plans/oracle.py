@@ -76,7 +76,7 @@ def word_grams(x: str) -> str:
     return f"list_concat({w}, list_transform(range(1, len({w})), lambda i: {w}[i] || ' ' || {w}[i + 1]))"
 
 
-PARTS = f"p AS (SELECT p_partkey, p_brand, {norm("p_name || ' ' || p_type")} AS t FROM part), q AS (SELECT p_partkey AS q, p_brand, t FROM p WHERE p_partkey % 10 = 0)"
+PARTS = f"p AS (SELECT p_partkey, p_size, {norm("p_name || ' ' || p_type")} AS t FROM part), q AS (SELECT p_partkey AS q, p_size, t FROM p)"
 CATEGORY_5 = "'5410','5415','5499','5505','5510','5560','5599','5710','5720','5770','5785','5202','5485','5699','5660'"
 
 
@@ -114,9 +114,9 @@ CASE WHEN division > 99 THEN (CASE WHEN division = 100 THEN 'C' END) WHEN divisi
 CASE WHEN p_size = 1 THEN 9 ELSE 1 END::BIGINT AS n_arrondissements FROM x""",
     "left_join_enrich": "SELECT c_nationkey, c_custkey, c_name, n_name, r_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey",
     "semi_join_scope": "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0 AND c_mktsegment IS NOT NULL)",
-    "anti_join_missing": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)",
+    "anti_join_missing": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 250000)",
     "blocking_join": f"WITH {CRM} SELECT query_id, count(*) AS pool_size, min(cand_id) AS first_candidate FROM crm JOIN stock ON q_insee = insee GROUP BY query_id",
-    "blocking_fallback": f"WITH {CRM}, s AS (SELECT * FROM stock WHERE insee % 3 <> 0), a AS (SELECT query_id, cand_id FROM crm JOIN s ON q_insee = insee), b AS (SELECT query_id, cand_id FROM crm JOIN s ON q_cp = cp WHERE query_id NOT IN (SELECT query_id FROM a)) SELECT query_id, max(via) AS via, count(*) AS pool_size, sum(cand_id)::BIGINT AS id_sum FROM (SELECT *, 'first' AS via FROM a UNION ALL SELECT *, 'second' FROM b) GROUP BY query_id",
+    "blocking_fallback": f"WITH {CRM}, a AS (SELECT query_id, cand_id FROM crm JOIN stock ON q_insee + 5 = insee), b AS (SELECT query_id, cand_id FROM crm JOIN stock ON q_cp = cp WHERE query_id NOT IN (SELECT query_id FROM a)) SELECT query_id, max(via) AS via, count(*) AS pool_size, sum(cand_id)::BIGINT AS id_sum FROM (SELECT *, 'first' AS via FROM a UNION ALL SELECT *, 'second' FROM b) GROUP BY query_id",
     "location_or_union": f"WITH {CRM} SELECT query_id, count(*) AS pool_size, sum(cand_id)::BIGINT AS id_sum FROM crm JOIN stock ON q_insee = insee OR q_cp = cp GROUP BY query_id",
     "mega_policy": "WITH n AS (SELECT l_suppkey % 25 AS block, l_partkey % 5 AS narrow, count(*) AS n FROM lineitem GROUP BY ALL), b AS (SELECT block, sum(n) AS c FROM n GROUP BY block), g AS (SELECT block FROM b WHERE c >= (SELECT avg(c) FROM b)) SELECT s_suppkey, sum(n)::BIGINT AS pool_size FROM supplier JOIN n ON s_suppkey % 25 = block WHERE block NOT IN (SELECT block FROM g) OR s_suppkey % 5 = narrow GROUP BY s_suppkey",
     "numeric_rescue_join": f"WITH b AS (SELECT item_id, unnest({numbers("(text || ' ' || item_id)")}) AS t FROM benchmark), d AS (SELECT doc_id, unnest({numbers('text')}) AS t FROM documents) SELECT item_id, doc_id, count(*) AS shared FROM b JOIN d USING (t) GROUP BY ALL",
@@ -133,14 +133,14 @@ SELECT a.p_partkey AS q, b.p_partkey, round(CASE WHEN len(a.t) = 0 AND len(b.t)
     "idf_overlap": f"""WITH p AS (SELECT p_partkey, p_brand, {norm("p_name || ' ' || p_type")} AS n FROM part), t AS (SELECT p_brand, p_partkey, unnest({name_tokens('n')}) AS term FROM p), i AS (SELECT p_brand, term, ln((1 + nd) / CAST(1 + count(*) AS DOUBLE)) + 1 AS idf FROM t JOIN (SELECT p_brand, count(*) AS nd FROM p GROUP BY p_brand) USING (p_brand) GROUP BY p_brand, term, nd), f AS (SELECT p_brand, min(p_partkey) AS k FROM p GROUP BY p_brand), ft AS (SELECT p_brand, term FROM t JOIN f USING (p_brand) WHERE p_partkey = k),
 g AS (SELECT p_partkey, avg(idf) AS m FROM t JOIN ft USING (p_brand, term) JOIN i USING (p_brand, term) GROUP BY p_partkey) SELECT p_partkey, round(coalesce(m, 0.0), 6) AS idf_overlap FROM p LEFT JOIN g USING (p_partkey)""",
     "word_tfidf_topk": f"WITH b AS (SELECT item_id, {norm('text')} AS t FROM benchmark), d AS (SELECT doc_id, {norm('text')} AS t FROM documents), {tfidf('b', 'd', '', 'item_id', 'doc_id', words('t'), 10)} SELECT item_id, doc_id, round(score, 3) AS score, rank FROM top",
-    "char_tfidf_topk": f"WITH {PARTS}, {tfidf('q', 'p', 'p_brand', 'q', 'p_partkey', grams('t', 3, 5), 3, True)} SELECT q, p_partkey, score, rank FROM top",
-    "address_tfidf_topk": f"WITH {PARTS}, {tfidf('q', 'p', 'p_brand', 'q', 'p_partkey', word_grams('t'), 3, False, 1, 0.95)} SELECT q, p_partkey, score, rank FROM top",
-    "global_cosine_topk": f"WITH {PARTS}, {tfidf('q', 'p', 'p_brand', 'q', 'p_partkey', words('t'), 10, True, 2, 0.95, 'w')}, {tfidf('q', 'p', 'p_brand', 'q', 'p_partkey', grams('t', 3, 3), 10, True, 2, 0.95, 'c')}, m AS (SELECT q, p_partkey, round(coalesce(w.score, 0.8 * c.score), 6) AS score FROM w FULL JOIN c USING (q, p_partkey)), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, p_partkey) AS INTEGER) AS rank FROM m) SELECT * FROM r WHERE rank <= 5",
-    "hybrid_union_rescue": f"WITH {PARTS}, {tfidf('q', 'p', 'p_brand', 'q', 'p_partkey', words('t'), 5, False, 1, 1.0, 'w')}, {tfidf('q', 'p', 'p_brand', 'q', 'p_partkey', word_grams('t'), 5, False, 1, 0.5, 'a')}, u AS (SELECT q, p_partkey, 0 AS c, rank FROM w UNION ALL SELECT q, p_partkey, 1, rank FROM a), f AS (SELECT q, p_partkey, min(c) AS c, arg_min(rank, c) AS r FROM u GROUP BY ALL), z AS (SELECT q, p_partkey, CASE WHEN c = 0 THEN 'name' ELSE 'address' END AS channel, CAST(row_number() OVER (PARTITION BY q ORDER BY c, r, p_partkey) AS INTEGER) AS place FROM f) SELECT * FROM z WHERE place <= 8",
+    "char_tfidf_topk": f"WITH {PARTS}, {tfidf('q', 'p', 'p_size', 'q', 'p_partkey', grams('t', 3, 5), 3, True)} SELECT q, p_partkey, score, rank FROM top",
+    "address_tfidf_topk": f"WITH {PARTS}, {tfidf('q', 'p', 'p_size', 'q', 'p_partkey', word_grams('t'), 3, False, 1, 0.95)} SELECT q, p_partkey, score, rank FROM top",
+    "global_cosine_topk": f"WITH {PARTS}, {tfidf('q', 'p', 'p_size', 'q', 'p_partkey', words('t'), 10, True, 2, 0.95, 'w')}, {tfidf('q', 'p', 'p_size', 'q', 'p_partkey', grams('t', 3, 3), 10, True, 2, 0.95, 'c')}, m AS (SELECT q, p_partkey, round(coalesce(w.score, 0.8 * c.score), 6) AS score FROM w FULL JOIN c USING (q, p_partkey)), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, p_partkey) AS INTEGER) AS rank FROM m) SELECT * FROM r WHERE rank <= 5",
+    "hybrid_union_rescue": f"WITH {PARTS}, {tfidf('q', 'p', 'p_size', 'q', 'p_partkey', words('t'), 5, False, 1, 1.0, 'w')}, {tfidf('q', 'p', 'p_size', 'q', 'p_partkey', word_grams('t'), 5, False, 1, 0.5, 'a')}, u AS (SELECT q, p_partkey, 0 AS c, rank FROM w UNION ALL SELECT q, p_partkey, 1, rank FROM a), f AS (SELECT q, p_partkey, min(c) AS c, arg_min(rank, c) AS r FROM u GROUP BY ALL), z AS (SELECT q, p_partkey, CASE WHEN c = 0 THEN 'name' ELSE 'address' END AS channel, CAST(row_number() OVER (PARTITION BY q ORDER BY c, r, p_partkey) AS INTEGER) AS place FROM f) SELECT * FROM z WHERE place <= 8",
     "dense_topk": f"WITH {dense(5)} SELECT q, vec_id, score, rank FROM top",
     "semantic_top2_gap": f"WITH {dense(2)}, g AS (SELECT q, max(score) FILTER (rank = 1) AS best, coalesce(max(score) FILTER (rank = 2), 0.0) AS second FROM top GROUP BY q) SELECT *, round(best - second, 6) AS gap FROM g",
     "dedupe_last_wins": "SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1",
-    "stage1_topn": f"WITH {PAIRS} SELECT query_id, count(*) AS kept, sum(cand_id)::BIGINT AS id_sum FROM ranked WHERE rank <= 50 GROUP BY query_id",
+    "stage1_topn": f"WITH {PAIRS} SELECT query_id, count(*) AS kept, sum(cand_id)::BIGINT AS id_sum FROM ranked WHERE rank <= 2 GROUP BY query_id",
     "topk_gap_ratio": f"WITH {PAIRS}, {TWO} SELECT query_id, round(s1, 6) AS score_top1, round(s2, 6) AS score_top2, round(s3, 6) AS score_top3_avg, round(s1 - s2, 6) AS score_gap, round(s1 / CASE WHEN s2 > 1e-6 THEN s2 ELSE 0.001 END, 6) AS score_ratio FROM two",
     "open_over_closed": """WITH o AS (SELECT o_custkey AS q, (o_custkey % 2)::VARCHAR || right(o_orderkey::VARCHAR, 1) AS siren, o_orderkey, o_orderstatus = 'F' AS closed, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders), t AS (SELECT * FROM o WHERE rank <= 10), m AS (SELECT *, min(rank) FILTER (closed) OVER (PARTITION BY q, siren) AS c, min(rank) FILTER (NOT closed) OVER (PARTITION BY q, siren) AS p FROM t)
 SELECT q, o_orderkey, CAST(CASE WHEN c < p AND rank = c THEN p WHEN c < p AND rank = p THEN c ELSE rank END AS INTEGER) AS rank FROM m""",
@@ -158,7 +158,7 @@ SELECT q, o_orderkey, CAST(CASE WHEN c < p AND rank = c THEN p WHEN c < p AND ra
     "partition_validator": "WITH g AS (SELECT l_returnflag || l_linestatus AS code, l_orderkey AS k, count(*) AS n, count(*) FILTER (l_linestatus <> 'F') AS m FROM lineitem GROUP BY ALL) SELECT code, sum(n)::BIGINT AS n_rows, coalesce(sum(n) FILTER (k IS NULL), 0)::BIGINT AS null_keys, sum(CASE WHEN k IS NULL THEN 0 ELSE n - 1 END)::BIGINT AS duplicates, sum(m)::BIGINT AS mixed FROM g GROUP BY code",
     "audit_location": "WITH o AS (SELECT o_custkey, min(o_orderstatus) AS st FROM orders GROUP BY o_custkey) SELECT CASE WHEN o_custkey IS NULL THEN 'missing' WHEN st = 'F' THEN 'ok' ELSE 'bad' END AS status, count(*) AS n FROM customer LEFT JOIN o ON c_custkey = o_custkey GROUP BY ALL",
     "upsert_keep_last": "WITH n AS (SELECT o_custkey, max(o_orderkey) AS o_orderkey FROM orders WHERE o_orderstatus = 'O' GROUP BY ALL), f AS (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL) SELECT * FROM n UNION ALL SELECT * FROM f WHERE o_custkey NOT IN (SELECT o_custkey FROM n)",
-    "hit_at_k": f"WITH {PAIRS}, f AS (SELECT query_id, min(rank) FILTER (cand_id % 4 = query_id % 4) AS f FROM ranked WHERE rank <= 5 GROUP BY query_id) SELECT count(*) AS queries, round(avg((coalesce(f, 99) <= 1)::INTEGER), 6) AS hit_1, round(avg((coalesce(f, 99) <= 3)::INTEGER), 6) AS hit_3, round(avg((coalesce(f, 99) <= 5)::INTEGER), 6) AS hit_5, round(avg(coalesce(1 / f::DOUBLE, 0)), 6) AS mrr FROM f",
+    "hit_at_k": f"WITH {PAIRS}, f AS (SELECT query_id, min(rank) FILTER (cand_id % 4 = query_id % 4) AS f FROM ranked WHERE rank <= 2 GROUP BY query_id) SELECT count(*) AS queries, round(avg((coalesce(f, 99) <= 1)::INTEGER), 6) AS hit_1, round(avg((coalesce(f, 99) <= 2)::INTEGER), 6) AS hit_2, round(avg(coalesce(1 / f::DOUBLE, 0)), 6) AS mrr FROM f",
     "routing_evaluation": f"WITH {PAIRS}, t AS (SELECT CASE WHEN score >= 0.85 THEN 'AUTO' ELSE 'REVIEW' END AS status, cand_id % 4 = query_id % 4 AS strict, cand_id % 2 = query_id % 2 AS same FROM ranked WHERE rank = 1), {routing('t')}) SELECT *, round(auto / total::DOUBLE, 6) AS auto_rate, round(coalesce(auto_right / nullif(auto, 0)::DOUBLE, 0), 6) AS precision, round(coalesce(auto_same / nullif(auto, 0)::DOUBLE, 0), 6) AS precision_same, round(CASE WHEN auto > 0 THEN 1 - auto_right / auto::DOUBLE ELSE 0.0 END, 6) AS fp_rate, round(coalesce(review_right / nullif(\"right\", 0)::DOUBLE, 0), 6) AS fn_rate FROM m",
     "segment_breakdown": f"WITH t AS (SELECT lang, CASE WHEN toxic = 0 THEN 'AUTO' ELSE 'REVIEW' END AS status, quality = 1 AS strict, quality = 1 AS same FROM labels JOIN documents USING (doc_id)), {routing('t', 'lang, ')} GROUP BY GROUPING SETS ((lang), ())) SELECT coalesce(lang, 'ALL') AS segment, total, auto, auto_right, round(auto / total::DOUBLE, 6) AS auto_rate, round(coalesce(auto_right / nullif(auto, 0)::DOUBLE, 0), 6) AS precision, round(CASE WHEN auto > 0 THEN 1 - auto_right / auto::DOUBLE ELSE 0.0 END, 6) AS fp_rate, round(coalesce(review_right / nullif(\"right\", 0)::DOUBLE, 0), 6) AS fn_rate FROM m",
     "calibration_ece": f"WITH {CALIB}, x AS (SELECT *, least(greatest(score, 1e-15), 1 - 1e-15) AS p, {BIN} AS b FROM c), g AS (SELECT b, count(*) AS n, sum(score) AS s, sum(label) AS y, sum((score - label) ** 2) AS q, sum(-(label * ln(p) + (1 - label) * ln(1 - p))) AS l FROM x GROUP BY b) SELECT round(sum(q) / sum(n), 6) AS brier, round(sum(l) / sum(n), 6) AS log_loss, round(sum(abs(s - y)) / sum(n), 6) AS ece FROM g",
@@ -177,7 +177,7 @@ n AS (SELECT id, trim(regexp_replace(translate(replace(raw, '-', ' '), '{ACC}',
 SELECT id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(n, '([a-z])([A-Z])', '\\1 \\2', 'g'), '([A-Z]+)([A-Z][a-z])', '\\1 \\2', 'g'), '(\\d+)', ' \\1 ', 'g'), '\\s+', ' ', 'g')) AS embedding_text FROM n""",
     "address_parse": f"""WITH r AS (SELECT p_partkey, p_size::VARCHAR AS num, p_type, p_name, lpad((p_partkey % 10000)::VARCHAR, 4, '0') AS tail FROM part)
 SELECT p_partkey, num AS number, 'Rue ' || p_type || ', 6' || tail || ' ' || p_name AS street, '6' || tail AS postcode, p_name AS city, num || '|' || array_to_string(list_filter({toks(norm('p_type'))}, lambda w: w NOT IN ({STREET})), ' ') AS address_hash, num || ' bis' AS number_with_suffix FROM r""",
-    "hash_rescue_join": f"""WITH h AS (SELECT p_partkey, p_size::VARCHAR || '|' || array_to_string(list_filter({toks(norm('p_name'))}, lambda w: w NOT IN ({STREET})), ' ') AS h FROM part) SELECT a.p_partkey AS q, count(*) AS n, min(a.h) AS address_hash FROM h a JOIN h b USING (h) WHERE a.p_partkey % 2 = 0 AND b.p_partkey % 2 = 1 GROUP BY a.p_partkey""",
+    "hash_rescue_join": f"""WITH h AS (SELECT p_partkey, p_size::VARCHAR || '|' || array_to_string(list_filter({toks(norm('p_name'))}, lambda w: w NOT IN ({STREET})), ' ') AS h FROM part) SELECT a.p_partkey AS q, count(*) AS n, min(a.h) AS address_hash FROM h a JOIN h b USING (h) WHERE a.p_partkey < b.p_partkey GROUP BY a.p_partkey""",
     "person_name_flag": f"""WITH r AS (SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'Jean-' ELSE 'Acme ' END || translate(c_mktsegment, '0123456789', '') || CASE WHEN c_custkey % 5 = 0 THEN ' SARL' ELSE '' END AS n FROM customer), t AS (SELECT c_custkey, n, {toks(norm('n'))} AS t FROM r)
 SELECT c_custkey, len(t) BETWEEN 2 AND 3 AND NOT regexp_matches(n, '\\d') AND NOT list_has_any(t, [{LEGAL}]) AND list_has_any(t, ['JEAN']) AS is_person FROM t""",
     "acronym_match": f"""WITH p AS (SELECT p_partkey, {norm('p_name')} AS n FROM part), a AS (SELECT *, CASE WHEN len({toks('n')}) <= 1 THEN '' ELSE array_to_string(list_transform(list_filter({toks('n')}, lambda w: w NOT IN ({STOP}, 'ET', 'LYON', 'CORBAS', 'DECINES', 'MEYZIEU', 'VILLEURBANNE')), lambda w: w[1:1]), '') END AS acronym FROM p),

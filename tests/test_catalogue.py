@@ -1,16 +1,16 @@
 import pytest
 
-from concordat.plans import catalogue
+from concordat.plans import catalogue, registry
 
 from .comparing import oracle, rows
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_sql(spark, sf, name):
-    got = catalogue.QUERIES[name](spark, sf).toArrow()
+    got = registry.QUERIES[name](spark, sf).toArrow()
     assert len(set(got.column_names)) == len(got.column_names)
-    if name in catalogue.SQL:
-        assert rows(got) == rows(oracle(catalogue.SQL[name], sf))
+    if name in registry.SQL:
+        assert rows(got) == rows(oracle(registry.SQL[name], sf))
 
 
 def test_entry(spark):

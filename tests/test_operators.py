@@ -103,3 +103,58 @@ def test_establishments(spark):
     rec = '{"siret":"1","siren":"2","adresse":{"numero":"3","voie":"R","codePostal":"01000","commune":"C"},"periodes":[{"dateFin":"2000-01-01","dateDebut":"1990-01-01","etat":"F","enseigne":"OLD"},{"dateDebut":"2000-01-02","etat":"A","enseigne":"NEW"}]}'
     r = tables.establishments(spark.createDataFrame([(rec,)], "record string")).first()
     assert (r["etat"], r["enseigne"], r["commune"]) == ("A", "NEW", "C")
+
+
+def test_dense_index_recall(spark, tmp_path):
+    """An approximate index of 12 000 vectors in lists: recall at 5 against all products."""
+    import numpy as np
+
+    from concordat.operators import retrieval as X
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 16))[rng.integers(0, 300, 12_000)] + 0.4 * rng.normal(size=(12_000, 16))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "k long, v array<float>")
+    X.build_dense_index(df, str(tmp_path / "i"), doc_id="k", vector="v")
+    assert spark.read.parquet(str(tmp_path / "i/centres")).count() == 109
+    got = X.search_dense_index(df.where("k % 100 = 0"), str(tmp_path / "i"), query_id="q", doc_id="k", vector="v", k=5).toPandas()
+    s = x[::100].astype(float) @ x.astype(float).T
+    s[np.arange(120), np.arange(0, 12_000, 100)] = -1
+    want = {(int(i * 100), int(j)) for i, row in enumerate(np.argsort(-s, axis=1)[:, :5]) for j in row}
+    assert len(want & set(zip(got.q, got.k))) >= 0.9 * len(want)
+
+
+def test_sigmoid_follows_the_labels(spark):
+    rows = [(i, i / 100, int(i % 100 > 60 or i % 7 == 0)) for i in range(100)]
+    df = spark.createDataFrame(rows, "i int, score double, label int")
+    got = [r["c"] for r in P.boosted_score(P.fit_sigmoid(df), df, "c").orderBy("i").collect()]
+    assert got == sorted(got) and 0 < got[0] < 0.4 and got[-1] > 0.8
+
+
+def test_profile_issues():
+    from concordat.operators.features import FAST, FEATURES
+    from concordat.plans.config import InferenceProfile
+
+    assert len(FEATURES) == 54 and [f for f in FEATURES if f in FAST] == FAST and len(set(FAST)) == 35
+    p = InferenceProfile(feature_order=tuple(FEATURES), retrieval_signature="x")
+    assert len(p.issues()) == 3 and p.first_stage_order() == tuple(FEATURES)
+    with pytest.raises(ValueError):
+        p.issues(strict=True)
+    ok = InferenceProfile(ranker_fast_feature_order=tuple(FAST), semantic_enabled=True, retrieval_signature=RetrievalConfig().signature())
+    assert ok.issues(strict=True) == [] and ok.first_stage_order() == tuple(FAST)
+
+
+def test_commands(spark, tmp_path, capsys):
+    from concordat.__main__ import main
+
+    assert main(["list"]) == 0 and "build_pool" in capsys.readouterr().out
+    assert main(["run", "harvest_stats", "/root/testdata/sf0.001", "--to", str(tmp_path / "o"), "--format", "json"]) == 0
+    assert spark.read.json(str(tmp_path / "o")).count() == 1
+
+
+def test_sinks_and_postcodes(spark, tmp_path):
+    df = spark.createDataFrame([("b", 2), ("a", 1)], "k string, n int")
+    sinks.csv(df, str(tmp_path / "c"), order=["k"])
+    assert [r["k"] for r in spark.read.option("sep", ";").option("header", True).csv(str(tmp_path / "c")).collect()] == ["a", "b"]
+    sinks.json_lines(df, str(tmp_path / "j"))
+    assert spark.read.json(str(tmp_path / "j")).count() == 2
