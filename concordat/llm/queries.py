@@ -34,7 +34,7 @@ def op3_minhash(spark, sf_dir):
 
 def op4_suffixes(spark, sf_dir):
     out = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "repeats.n_bytes", "repeats.n_removed", F.size("repeats.spans").cast("long").alias("n_spans"), F.sha2("repeats.kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "repeats.n_bytes", "repeats.n_removed", F.size("repeats.spans").cast("long").alias("n_spans"), F.sha2("repeats.kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("repeats.kept").cast("string")).alias("text"))
 
 
 def op5_lines(spark, sf_dir):

@@ -165,7 +165,7 @@ def test_suffixes_against_brute_force(spark, tmp_path):
     rows = list(enumerate(texts)) + [(3, texts[3])]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     df.write.parquet(str(tmp_path / "documents.parquet"))
-    got = sorted(tuple(r) for r in queries.op4_suffixes(spark, str(tmp_path)).collect())
+    got = sorted(tuple(r)[:5] for r in queries.op4_suffixes(spark, str(tmp_path)).collect())
     assert got == sorted((i, *r) for (i, _), r in zip(rows, removed([t for _, t in rows], 400)))
 
 
