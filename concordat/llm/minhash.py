@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, cut, spanning
+from .shared import components, cut, merged, spanning
 from .toxicity import batches
 
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -262,7 +262,8 @@ def near_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", widt
     """Per row: key, n_shingles, component_id, kept.
 
     Words are runs of other characters than ASCII blanks, A-Z lowered; a text's set holds its distinct shingles of
-    `width` words (of all its words, if fewer). Texts link if 100 * intersection >= percent * union.
+    `width` words (of all its words, if fewer). Texts link if 100 * intersection >= percent * union. Shingles stand as hashes of 64 bits,
+    and sets count as equal by a hash of 128 bits.
 
     Equal sets form a class, of which one text goes on. Signatures of 128 values are banded so that a pair at the
     threshold shares a bucket but with probability `miss`. Each member of a bucket is compared with the bucket's
@@ -280,7 +281,7 @@ def near_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", widt
     rows = band_rows(percent / 100, miss)
     info = cut(_described(plain, width, rows))
     usable = info.where("id is not null and n > 0")
-    classes = usable.groupBy("set").agg(F.min("id").alias("rep"))
+    classes = cut(usable.groupBy("set").agg(F.min("id").alias("rep")))  # a table, so that large classes can be split in the joins
     reps = cut(usable.join(classes, (usable["set"] == classes["set"]) & (usable["id"] == classes["rep"])).groupBy("id").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")))
     members = reps.select("id", F.explode("bands").alias("band"))
     firsts = members.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot <> last").drop("last")
@@ -293,8 +294,9 @@ def near_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", widt
     links = cut(_exact(pairs, texts, width, percent))
     groups = components(links)
     more = cut(_within_families(families, groups, reps, texts, width, percent, miss, block_rows))
-    groups = components(links.union(more))
-    node = info.select("id", "n", "set").join(classes, "set", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+    groups = merged(groups, more)
+    texts_ = info.where("n > 0").select("id", "n", "set").join(classes, "set", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("id", "n", "rep", "component")
+    node = texts_.unionByName(info.where("n = 0").select("id", "n"), allowMissingColumns=True)
     component = F.when(F.col("n") > 0, F.coalesce("component", "rep")).otherwise(F.col("id"))
     component = F.when(F.col("id").isNotNull(), F.coalesce(component, "id"))
     return node.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))

@@ -1,41 +1,17 @@
-"""What several operators share: the shared work folder, cutting lineage, and connected components."""
+"""What several operators share: connected components, and a sieve of keys."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import cut, work_folder  # noqa: F401
+
 #: A word: a run of anything but space, tab, newline, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def work_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir. Without that setting a cluster's tables go beside those of
-    the warehouse, which is shared too; only a local session, as in tests, gets a folder of this machine, gone at exit."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if spark.sparkContext.master.split("[")[0] == "local":
-            folder = tempfile.mkdtemp(prefix="concordat-")
-            atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        else:
-            folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/concordat-work-{uuid.uuid4().hex}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder and read it back: a lost executor costs a reread, not a rerun."""
-    path = f"{work_folder(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}.parquet"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def is_empty(df: DataFrame) -> bool:
     return not df.limit(1).count()
 
@@ -76,6 +52,15 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return cut(out) if len(maps) > 1 else out
 
 
+def merged(groups: DataFrame, more: DataFrame) -> DataFrame:
+    """The components (node, component) after further links (a, b): only the components that these join are worked on."""
+    a = groups.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    b = groups.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    tops = components(more.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    old = groups.join(tops.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    return old.unionByName(tops.join(groups.select("node"), "node", "left_anti"))
+
+
 def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For each of n nodes the smallest node of its component over the links (a, b)."""
     label = np.arange(n)
