@@ -103,17 +103,17 @@ def segment_rows(parts, length: int):
             yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(1).take(rows), pa.array(anchor), pa.array(digests, pa.binary()), *(pa.array(x.astype(np.int32)) for x in (off, first, last))], names=["id", "th", "a", "c", "off", "first", "last"])
 
 
-def single_rows(parts, length: int):
-    """For batches of (id, th, text, segments): a row like those of `segment_rows` for every start of the segments, the
-    whole string being its own anchor."""
+def single_starts(parts, length: int):
+    """For batches of (id, th, text, segments): a row (a, c, n, at, string) for every start of the segments, `at` its
+    place in the segment and `string` the digest of the string that starts there."""
     for part in parts:
-        for i, text, segments in zip(range(part.num_rows), part.column(2).to_pylist(), part.column(3).to_pylist()):
+        for text, segments in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
             data = text.encode("utf-8", "replace")
-            first = np.concatenate([np.arange(r["first"], r["last"] + 1) for r in segments])
-            digests = [_digest(data[f : f + length], 0) for f in first.tolist()]
-            rows, at = pa.array(np.full(len(first), i)), pa.array(first.astype(np.int32))
-            own = pa.array(np.frombuffer(b"".join(digests), np.int64)[::2])
-            yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(1).take(rows), own, pa.array(digests, pa.binary()), pa.array(np.zeros(len(first), np.int32)), at, at], names=["id", "th", "a", "c", "off", "first", "last"])
+            for r in segments:
+                at = np.arange(r["last"] - r["first"] + 1, dtype=np.int64)
+                digests = [_digest(data[f : f + length], 0) for f in (at + r["first"]).tolist()]
+                same = lambda v, kind: pa.array([v] * len(at), kind)
+                yield pa.RecordBatch.from_arrays([same(r["a"], pa.int64()), same(r["c"], pa.binary()), same(r["n"], pa.int64()), pa.array(at), pa.array(digests, pa.binary())], names=["a", "c", "n", "at", "string"])
 
 
 def repeated_in_shard(parts, length: int):
@@ -172,9 +172,9 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     else; strings don't cross documents and are judged on the input. Spans are the maximal runs that go.
 
     Starts are dealt by the anchor of their string, so equal strings meet; anchors that occur once are out, by a count
-    of hashes alone. Of equal segments around an anchor one goes on, with their number; an anchor with more than
-    `hot_segments` different segments is taken apart, each start under the digest of its whole string, so that no group
-    grows with the corpus. The rest is dealt into shards of about `shard_bytes`, and each shard is sorted by external
+    of hashes alone. Of equal segments around an anchor one goes on, with their number; for an anchor with more than
+    `hot_segments` different segments, each start goes under the digest of its whole string, so that no task is handed
+    a group that grows with the corpus. The rest is dealt into shards of about `shard_bytes`, and each shard is sorted by external
     induction: tuples beyond 2 MB wait on disk, and names beyond `induced.INNER` are sorted by recursion. Then spans
     go back to all occurrences. Texts are only moved where a sieve says that they may hold what is looked for.
     `length` is 128 to 575.
@@ -198,7 +198,7 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     rows = f"id {kind}, th long, a long, c binary, off int, first int, last int"
     lists = cut(plain.mapInArrow(lambda parts: anchor_lists(parts, length), f"id {kind}, th long, anchors array<long>"))
     each = lists.select("id", "th", F.explode("anchors").alias("a"))
-    often = each.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
+    often = cut(each.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a"))  # a table: the join can split hot anchors
     wanted = cut(each.join(often, "a").groupBy("id", "th").agg(F.collect_set("a").alias("anchors")))
     found = cut(texts_of(wanted, "anchors").mapInArrow(lambda parts: segment_rows(parts, length), rows))
 
@@ -207,11 +207,13 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
 
     segments = cut(grouped(found))
     hot = cut(segments.groupBy("a").agg(F.count("*").alias("k")).where(F.col("k") > hot_segments).select("a"))
+    apart = None
     if not is_empty(hot):
-        apart = found.join(hot, "a").groupBy("id", "th").agg(F.collect_set(F.struct("first", "last")).alias("segments"))
-        apart = cut(texts_of(cut(apart), "segments").mapInArrow(lambda parts: single_rows(parts, length), rows))
-        segments = cut(segments.join(hot, "a", "left_anti").unionByName(grouped(apart).where("n > 1")))
-        found = found.join(hot, "a", "left_anti").unionByName(apart)
+        chosen = cut(segments.join(hot, "a").groupBy("id", "th").agg(F.collect_list(F.struct("a", "c", "n", "first", "last")).alias("segments")))
+        starts = cut(texts_of(chosen, "segments").mapInArrow(lambda parts: single_starts(parts, length), "a long, c binary, n long, at long, string binary"))
+        again = cut(starts.groupBy("string").agg(F.sum("n").alias("all")).where("all > 1").select("string"))
+        apart = starts.join(again, "string").groupBy("a", "c").agg(F.min("at").alias("low"), (F.max("at") + length).alias("high"))
+        segments = cut(segments.join(hot, "a", "left_anti"))
     size = segments.agg(F.sum(F.col("last") - F.col("first") + length)).first()[0] or 0
     wanted = cut(segments.groupBy("id", "th").agg(F.collect_list(F.struct("a", "c", "n", "first", "last", "off")).alias("segments")))
 
@@ -224,7 +226,8 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
                      pa.array([r["last"] - r["first"] + 1 for r in found_in], pa.int32()), pa.array([data[r["first"] : r["last"] + length] for r in found_in], pa.binary())], names=["a", "c", "n", "off", "starts", "data"])
 
     shards = texts_of(wanted, "segments").select("t", "segments").mapInArrow(fetch, "a long, c binary, n long, off int, starts int, data binary").repartition(max(1, math.ceil(size / shard_bytes)), "a")
-    spans = cut(shards.mapInArrow(lambda parts: repeated_in_shard(parts, length), "a long, c binary, low long, high long"))
+    spans = shards.mapInArrow(lambda parts: repeated_in_shard(parts, length), "a long, c binary, low long, high long")
+    spans = cut(spans.unionByName(apart) if apart is not None else spans)
     back = found.join(spans, ["a", "c"]).groupBy("id", "th").agg(F.collect_set(F.struct((F.col("first") + F.col("low")).alias("start"), (F.col("first") + F.col("high")).alias("end"))).alias("spans"))
     back = cut(back.select(F.col("id").alias("b_id"), F.col("th").alias("b_th"), "spans"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])

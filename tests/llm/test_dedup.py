@@ -213,3 +213,47 @@ def test_lines_odd_rows(spark):
     assert lines.line_dedup(odd.documents(spark, [])).count() == 0
     same = lines.line_dedup(odd.documents(spark, [(1, "a\nb\nc", "s"), (1, "a\nb\nc", "s"), (2, "a\nb\nc\nd", "s")])).collect()
     assert sorted((r["doc_id"], r["dedup"]["text"]) for r in same) == [(1, "a\nb\nc"), (1, "a\nb\nc"), (2, "d")]
+
+
+def test_suffixes_hot_anchor(spark):
+    """A passage between different words everywhere: its anchors have more segments than a group may have."""
+    rng = random.Random(3)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(900))
+    texts = ["".join(rng.choice("ijklmnop ") for _ in range(300)) + passage[: rng.choice([650, 900])] + "".join(rng.choice("qrstuvwx ") for _ in range(300)) for _ in range(60)]
+    texts += texts[:4]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = removed(texts, 400)
+    for most in (8, 2048):
+        got = suffixes.remove_repeats(df, hot_segments=most).orderBy("doc_id").select("repeats.*").collect()
+        assert [(r["n_bytes"], r["n_removed"], len(r["spans"]), hashlib.sha256(r["kept"]).hexdigest()) for r in got] == want
+
+
+def test_induction_spills_and_recurses_at_its_own_bounds(monkeypatch):
+    """A shard of the production size, with nothing changed: tuples wait on disk, and names are sorted by recursion."""
+    rng = np.random.default_rng(5)
+    words = [rng.integers(97, 123, rng.integers(2, 9)).astype(np.uint8).tobytes() for _ in range(3000)]
+    body = b" ".join(words[i] for i in np.minimum(rng.zipf(1.3, 900_000), 3000) - 1)[:4_000_000]
+    t = np.append(np.frombuffer(body, np.uint8).astype(np.uint16) + np.uint16(2), np.uint16(0))
+    levels, spills = [], []
+    blocks, append = induced.suffix_blocks, induced.DiskQueues.append
+
+    def counted(t, *a, **k):
+        levels.append(len(t))
+        return blocks(t, *a, **k)
+
+    def watched(self, q, rows):
+        before = self.n_held
+        append(self, q, rows)
+        spills.append(self.n_held < before)
+        assert self.n_held <= induced.MOST
+
+    monkeypatch.setattr(induced, "suffix_blocks", counted)
+    monkeypatch.setattr(induced.DiskQueues, "append", watched)
+    last, n = None, 0
+    for position, common in counted(t, 258, 400):
+        n += len(position)
+        for p, c in zip(position[:: max(1, len(position) // 50)].tolist(), common.tolist()[:: max(1, len(position) // 50)]):
+            if last is not None:
+                assert bytes(t[last : last + 400].astype(">u2")) <= bytes(t[p : p + 400].astype(">u2"))
+            last = p
+    assert n == len(t) and len(levels) >= 2 and sum(spills) > 10
