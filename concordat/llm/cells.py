@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import components, cut, spanning
@@ -43,11 +43,51 @@ def nearest(x: np.ndarray, centres: np.ndarray, probes: int | None = None) -> np
     return np.argsort(-(x @ centres.T), axis=1, kind="stable")[:, : probes or probes_for(len(centres))]
 
 
+#: A cell's number is that of its first level times this, plus that of its second.
+_SUB = 1 << 20
+
+
+def _second_level(seen: DataFrame, kind: str, *, cell_rows: int, sample_rows: int, max_cells: int, probes: int | None) -> DataFrame:
+    """The same rows over smaller cells: each cell with more than twice `cell_rows` residents gets cells of its own, from
+    k-means on at most `sample_rows` of its residents, and all its members are assigned to them, with the same rule for
+    guests. Members are dealt over tasks in chunks; centres are sent to each chunk of their cell."""
+    at = ["width", "cell"]
+    lives = F.col("cell") == F.col("home")
+    big = cut(seen.groupBy(*at).agg(F.count_if(lives).alias("residents"), F.count("*").alias("members")).where(F.col("residents") > 2 * cell_rows))
+    place = F.row_number().over(Window.partitionBy(*at).orderBy(F.xxhash64("rep"), "rep"))
+    sample = seen.where(lives).join(big, at).withColumn("place", place).where(F.col("place") <= sample_rows)
+
+    def fit(p: pd.DataFrame) -> pd.DataFrame:
+        k = int(min(max_cells, math.ceil(p["residents"].iloc[0] / cell_rows)))
+        centres = spherical_kmeans(np.array(p["u"].tolist()), k)
+        return pd.DataFrame({"width": p["width"].iloc[:1], "cell": p["cell"].iloc[:1], "centres": [centres.ravel().tolist()]})
+
+    centres = cut(sample.select(*at, "residents", "u").groupBy(*at).applyInPandas(fit, "width int, cell long, centres array<double>"))
+    chunks = F.ceil(F.col("members") / 20_000).cast("int")
+    dealt = seen.join(big, at).withColumn("chunk", F.pmod(F.xxhash64("rep"), chunks).cast("int"))
+    sent = centres.join(big, at).withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
+
+    def assign(key, p: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        if not len(p):
+            return pd.DataFrame(columns=["width", "rep", "copies", "u", "ids", "own"])
+        x = np.array(p["u"].tolist())
+        ids = nearest(x, np.array(c["centres"].iloc[0]).reshape(-1, x.shape[1]), probes).astype(np.int64) + int(key[1])
+        own = np.where((p["cell"] == p["home"]).to_numpy(), ids[:, 0], -1)
+        return p[["width", "rep", "copies", "u"]].assign(ids=ids.tolist(), own=own)
+
+    schema = f"width int, rep {kind}, copies long, u array<double>, ids array<long>, own long"
+    parts = dealt.select(*at, "chunk", "home", "rep", "copies", "u").groupBy(*at, "chunk").cogroup(sent.select(*at, "chunk", "centres").groupBy(*at, "chunk")).applyInPandas(assign, schema)
+    rest = seen.join(big, at, "left_anti").select("width", "rep", "copies", "u", F.array("cell").alias("ids"), F.when(lives, F.col("cell")).otherwise(F.lit(-1)).alias("own"))
+    whole = parts.unionByName(rest).withColumn("uh", F.xxhash64("u")).groupBy("width", "rep", "uh").agg(F.first("copies").alias("copies"), F.first("u").alias("u"), F.flatten(F.collect_list("ids")).alias("cells"), F.max("own").alias("home"))
+    return whole.select("width", F.explode("cells").alias("cell"), "home", "rep", "copies", "u", "cells")
+
+
 def embedding_dedup(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9, cell_rows: int = 512, sample_rows: int = 20_000, max_cells: int = 2048, probes: int | None = None, block_rows: int = 1024) -> DataFrame:
     """Per row: key, n_links, component_id, kept.
 
     Equal vectors form a class and are handled once, with their number. Cells come from spherical k-means on at most
-    `sample_rows` classes (the first by a hash), and every class is assigned: it lives in its nearest cell and is a
+    `sample_rows` classes (the first by a hash); beyond twice `max_cells` * `cell_rows` classes, large cells get a second
+    level of their own (`_second_level`), so cells stay small at any size. Every class is assigned: it lives in its nearest cell and is a
     guest in the next `probes` - 1, by default a number that grows with the cells (`probes_for`). Within a cell, residents meet residents and guests in blocks of about
     `block_rows`, so a cell of any size is dealt over many tasks; cosines are products of unit vectors in double
     precision, and pairs at or over the threshold link, none below. No list of pairs is made: a block returns the
@@ -78,15 +118,17 @@ def embedding_dedup(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
                 x, centres = unit(np.array(p["v"].tolist()).reshape(len(p), w)), per[w]
                 near = nearest(x, centres, probes)
                 for rep, copies, u, c in zip(p["rep"], p["copies"], x, near):
-                    out += [(w, int(cell), int(c[0]), rep, copies, u, c.tolist()) for cell in c]
+                    ids = (c.astype(np.int64) * _SUB).tolist()
+                    out += [(w, cell, ids[0], rep, copies, u, ids) for cell in ids]
             yield pd.DataFrame(out, columns=["width", "cell", "home", "rep", "copies", "u", "cells"])
 
     kind = vectors.schema[key].dataType.simpleString()
-    seen = cut(classes.select("width", "rep", "copies", "v").mapInPandas(assign, f"width int, cell int, home int, rep {kind}, copies long, u array<double>, cells array<int>"))
+    seen = cut(classes.select("width", "rep", "copies", "v").mapInPandas(assign, f"width int, cell long, home long, rep {kind}, copies long, u array<double>, cells array<long>"))
+    if count > 2 * max_cells * cell_rows:
+        seen = cut(_second_level(seen, kind, cell_rows=cell_rows, sample_rows=sample_rows, max_cells=max_cells, probes=probes))
     sizes = seen.groupBy("width", "cell").agg(F.count_if(F.col("cell") == F.col("home")).alias("residents"), F.count_if(F.col("cell") != F.col("home")).alias("guests"))
     sizes = sizes.select("width", "cell", F.ceil(F.col("residents") / block_rows).cast("int").alias("nr"), F.ceil(F.col("guests") / block_rows).cast("int").alias("ng")).where("nr > 0")
-    # One row a cell: at most max_cells for each vector length.
-    seen = seen.join(F.broadcast(sizes), ["width", "cell"])
+    seen = seen.join(sizes, ["width", "cell"])
     lives = F.col("cell") == F.col("home")
     mine = F.when(lives, F.pmod(F.xxhash64("rep"), "nr")).otherwise(F.pmod(F.xxhash64("rep"), "ng")).cast("int")
     seen = seen.withColumn("own", mine)

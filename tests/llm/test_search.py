@@ -142,3 +142,20 @@ def test_cells_clashing_names_and_repeated_rows(spark):
     df = spark.createDataFrame([(*r, "x", "y", "z", "u") for r in rows], "vec_id long, embedding array<double>, id string, v string, rep string, cell string")
     got = sorted(tuple(r) for r in cells.embedding_dedup(df).collect())
     assert got == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]
+
+
+@pytest.mark.parametrize("n, cell_rows, max_cells", [(1500, 150, 2048), (3000, 30, 2048), (3000, 30, 8)])
+def test_cells_recall_on_distinct_pairs(spark, n, cell_rows, max_cells):
+    """10 and 100 cells, and 100 in two levels: pairs of different vectors just over the threshold, none of them equal."""
+    rng = np.random.default_rng(n)
+    x = cells.unit(rng.normal(size=(n // 2, 24)))
+    o = rng.normal(size=x.shape)
+    o = cells.unit(o - (o * x).sum(1, keepdims=True) * x)
+    c = rng.uniform(0.905, 0.99, (len(x), 1))
+    x = np.concatenate([x, c * x + np.sqrt(1 - c * c) * o])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    hit, _ = exact(x)
+    got = {r["vec_id"]: r["n_links"] for r in cells.embedding_dedup(df, cell_rows=cell_rows, max_cells=max_cells, block_rows=64).collect()}
+    links = np.array([got[i] for i in range(len(x))])
+    assert (links <= hit.sum(1)).all() and hit.sum() >= n
+    assert links.sum() >= 0.95 * hit.sum(), links.sum() / hit.sum()
