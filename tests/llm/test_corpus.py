@@ -318,3 +318,49 @@ def test_stage_odd_rows(spark, tmp_path, k):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SMALL).where("not exact").count() == 0
+
+
+def test_one_of_each_keeps_different_texts(spark):
+    words_ = lambda a: " ".join(f"{a}{i}" for i in range(40))
+    rows = [(1, words_("a")), (1, words_("b")), (1, words_("a")), (2, words_("a") + " end"), (-3, words_("c")), (4, words_("c")), (None, words_("a")), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    runs = [sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each(spark, docs, "").collect()), key=str) for _ in range(2)]
+    assert runs[0] == runs[1] == sorted([(1, words_("a")), (1, words_("b")), (-3, words_("c")), (None, words_("a")), (5, "")], key=str)
+
+
+def test_lines_leave_no_blank_documents(spark):
+    block = "one line\ntwo lines\nthree lines"
+    rows = [(1, block), (2, "\n" + block + "\n"), (3, " \n \n "), (4, None), (5, block + "\nmore")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.remove_repeated_lines(spark, docs, "").collect()}
+    assert got == {1: block, 3: " \n \n ", 4: None, 5: "more"}
+
+
+def test_workers_need_no_package(tmp_path):
+    """All queries and the pipeline from another folder, where only the driver has the package on its path."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = str(Path(__file__).resolve().parents[2])
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+s = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate()
+def where(_):
+    try:
+        import concordat
+        yield 1
+    except ImportError:
+        yield 0
+assert s.sparkContext.parallelize([0], 1).mapPartitions(where).sum() == 0, "workers see the package"
+import __spark_entry__ as e
+for name, f in e.queries().items():
+    if name == "pipeline" or name.startswith("op") and name[2].isdigit():
+        print("RAN", name, f(s, {SMALL!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
+    assert done.returncode == 0 and done.stdout.count("RAN") == 11, done.stdout[-500:] + done.stderr[-2000:]
