@@ -102,9 +102,8 @@ def jaro_winkler_many(a: Column, texts: Column) -> Column:
 
 
 def with_jaro_winkler(pairs: DataFrame, a: str, b: str, name: str) -> DataFrame:
-    """The similarity worked out once for each distinct pair of strings, joined back."""
-    distinct = pairs.select(a, b).distinct().withColumn(name, jaro_winkler_udf(F.col(a), F.col(b))).withColumnsRenamed({a: "_a", b: "_b"})
-    return pairs.join(distinct, F.col(a).eqNullSafe(F.col("_a")) & F.col(b).eqNullSafe(F.col("_b"))).drop("_a", "_b")
+    """The similarity of two columns, null counting as '': one Arrow pass over the pairs, nothing is shuffled."""
+    return pairs.withColumn(name, jaro_winkler_udf(F.col(a), F.col(b)))
 
 
 def empties(a_empty: Column, b_empty: Column, value: Column) -> Column:

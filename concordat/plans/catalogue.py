@@ -14,7 +14,7 @@ from ..operators import evaluation as E
 from ..operators import retrieval as R
 from ..operators import sampling as M
 from ..operators import scoring as P
-from ..staging import new_path
+from ..staging import cut, new_path
 from .oracle import SQL  # noqa: F401
 
 QUERIES: dict = {}
@@ -581,7 +581,7 @@ def silver_labels(spark, d):
 
 @query
 def gbt_scorer(spark, d):
-    p = _scored(spark, d).withColumn("label", (col("score") >= 0.8).cast("int"))
+    p = cut(_scored(spark, d).withColumn("label", (col("score") >= 0.8).cast("int")))  # the fit reads it again and again
     model = P.fit_boosted(p, ["jw", "lev"], rounds=5, depth=3)
     return P.boosted_score(model, p.drop("score")).select("query_id", "cand_id", r6(col("score")).alias("score"))
 

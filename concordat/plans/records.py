@@ -547,7 +547,9 @@ def _model_pairs(spark, d):
     sign = F.concat(F.when(k % 2 == 0, "Ecole ").otherwise("Association "), "n_name")
     unit = F.concat(lit("Holding machinery "), k.cast("string"))
     fields = [(sign, "ETAB_ENSEIGNE"), (F.when(k % 3 == 0, "Jean Martin"), "PERSON_NAME"), (F.substring("s_name", 1, 4), "UL_SIGLE"), (unit, "UL_DENOM")]
-    c = j.select(k.alias("cand_id"), K.bag_of_names(fields, lit(True)).alias("bag"), T.normalize_text(F.concat((k % 90).cast("string"), lit(" rue "), "n_name")).alias("addr"), (k % 90).cast("string").alias("number"), F.concat(lit("rue "), "n_name").alias("street"), col("n_name").alias("city"), F.lpad(k.cast("string"), 5, "0").alias("postcode"), F.lpad(col("s_nationkey").cast("string"), 5, "0").alias("insee"), F.when(k % 2 == 0, "7210").otherwise("5710").alias("legal_code"), (k % 4 == 0).alias("is_siege"), sign.alias("main_name"), F.array(unit).alias("unit_names"), sign.alias("sign"), (k % 7).cast("long").alias("density"))
+    c = j.select(k.alias("cand_id"), V.prepared(K.bag_of_names(fields, lit(True))).alias("bag"), T.normalize_text(F.concat((k % 90).cast("string"), lit(" rue "), "n_name")).alias("addr"), (k % 90).cast("string").alias("number"), F.concat(lit("rue "), "n_name").alias("street"), col("n_name").alias("city"), F.lpad(k.cast("string"), 5, "0").alias("postcode"), F.lpad(col("s_nationkey").cast("string"), 5, "0").alias("insee"), F.when(k % 2 == 0, "7210").otherwise("5710").alias("legal_code"), (k % 4 == 0).alias("is_siege"), sign.alias("main_name"), F.array(unit).alias("unit_names"), sign.alias("sign"), (k % 7).cast("long").alias("density"))
+    # The few queries are dealt out before the join multiplies them, else one task would have all pairs.
+    q = q.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "query_id")
     pairs = q.join(c, col("crm_insee") == col("insee"))
     idf = F.map_from_arrays(F.array(lit("ECOLE"), lit("GROUPE")), F.array(lit(2.0), lit(1.5)))
     return pairs.withColumns({"name_idf": idf, "default_idf": lit(3.0), "sem_1": lit(0.75), "sem_2": lit(0.5)})
