@@ -89,3 +89,8 @@ def test_blocks_are_dealt_out(spark):
     for i in range(300):
         for j in sorted(range(300), key=lambda j: (-s[i, j], j))[:4]:
             assert have[i, j] == pytest.approx(s[i, j], abs=1.1e-6)
+
+
+def test_texts_are_tokenised_before_they_meet(spark, sf):
+    """Tokens were worked out again for every pair."""
+    assert "regexp_extract_all" not in registry.QUERIES["pairwise_jaccard"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
