@@ -158,3 +158,13 @@ def test_sinks_and_postcodes(spark, tmp_path):
     assert [r["k"] for r in spark.read.option("sep", ";").option("header", True).csv(str(tmp_path / "c")).collect()] == ["a", "b"]
     sinks.json_lines(df, str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == 2
+
+
+def test_jobs_run_side_by_side():
+    """The channels of a pool were prepared one behind the other."""
+    import threading
+
+    from concordat.staging import together
+
+    met = threading.Barrier(2)
+    assert together(lambda: met.wait(10) and "a" or "a", lambda: met.wait(10) and "b" or "b") == ["a", "b"]
