@@ -168,3 +168,22 @@ def test_jobs_run_side_by_side():
 
     met = threading.Barrier(2)
     assert together(lambda: met.wait(10) and "a" or "a", lambda: met.wait(10) and "b" or "b") == ["a", "b"]
+
+
+def test_a_name_is_normalised_once(spark):
+    """The text was normalised again wherever a rule named it."""
+    from concordat.functions import text as T
+
+    plan = spark.range(1).select(T.normalize_name(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_replace(") <= 2
+
+
+def test_features_of_names_are_worked_out_once_a_class(spark, sf, monkeypatch):
+    """Every pair got them anew, also where many queries share name, city and aliases."""
+    from concordat.operators import features as V
+    from concordat.plans import registry
+
+    sizes, old = [], V._of_names
+    monkeypatch.setattr(V, "_of_names", lambda pairs, names: sizes.append(pairs.count()) or old(pairs, names))
+    n = registry.QUERIES["feature_model"](spark, sf).count()
+    assert 0 < sizes[0] < n
