@@ -174,7 +174,7 @@ def test_a_name_is_normalised_once(spark):
     """The text was normalised again wherever a rule named it."""
     from concordat.functions import text as T
 
-    plan = spark.range(1).select(T.normalize_name(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    plan = spark.range(1).select(T.normalize_name(F.col("id").cast("string")).alias("t"))._jdf.queryExecution().analyzed().toString()
     assert plan.count("regexp_replace(") <= 2
 
 
@@ -187,3 +187,18 @@ def test_features_of_names_are_worked_out_once_a_class(spark, sf, monkeypatch):
     monkeypatch.setattr(V, "_of_names", lambda pairs, names: sizes.append(pairs.count()) or old(pairs, names))
     n = registry.QUERIES["feature_model"](spark, sf).count()
     assert 0 < sizes[0] < n
+
+
+def test_trees_are_fitted_on_different_rows(spark, sf, monkeypatch):
+    """The fit read every pair again and again; values that many pairs share count by their weight."""
+    from concordat.plans import registry
+
+    seen, old = [], P.fit_boosted
+
+    def fit(rows, features, **k):
+        seen.append((rows.count(), rows.agg(F.sum(k["weight"])).head()[0]))
+        return old(rows, features, **k)
+
+    monkeypatch.setattr(P, "fit_boosted", fit)
+    n = registry.QUERIES["gbt_scorer"](spark, sf).count()
+    assert seen[0][0] < n == seen[0][1]
