@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from concordat.functions import similarity as S
 from concordat.operators import blocks as N
 from concordat.operators import retrieval as R
+from concordat.operators import scoring as P
 from concordat.plans import registry
 
 NAME_QUERIES = "hit_at_k match_prompts name_triplets paired_recall places_fallback risk_features route_auto_review routing_evaluation stage1_topn top_k_from_zero topk_gap_ratio hard_negatives prefilter_sample pad_candidates".split()
@@ -94,3 +95,50 @@ def test_blocks_are_dealt_out(spark):
 def test_texts_are_tokenised_before_they_meet(spark, sf):
     """Tokens were worked out again for every pair."""
     assert "regexp_extract_all" not in registry.QUERIES["pairwise_jaccard"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("digits", [None, 6])
+def test_pair_features_against_every_pair(spark, digits):
+    """Names of any length, candidates with no, one or many names, names like a city, equal and empty ones."""
+    text = "name string, city1 string, addr1 string"
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choice("ABé 01") for _ in range(draw.choice([0, 1, 3, 8, 12, 30, 40, 70])))
+    some = lambda: draw.choice([word(), "LYON", "SAINT ETIENNE", "ETIENNE SAINT", "DU LYON"])
+    where = lambda: draw.choice(["", "12 RUE A", "12 BIS RUE A", "7 RUE B", "RUE B", "99999999999 RUE C", word()])
+    city = lambda: draw.choice(["LYON", "SAINT ETIENNE", "", "PARIS"])
+    q = spark.createDataFrame([(i, i % 2, some(), city(), where()) for i in range(60)], f"q long, k int, {text}")
+    bags = [[{"text": some(), "source": "UL_SIGLE", "is_ul": True, "is_sigle": True} for _ in range(draw.choice([0, 1, 2, 2, 5]))] for _ in range(50)]
+    d = spark.createDataFrame([(i, i % 3, b, city(), where()) for i, b in enumerate(bags)], "c long, on int, bag array<struct<text:string,source:string,is_ul:boolean,is_sigle:boolean>>, city2 string, addr2 string")
+    got = N.pair_features(q, d, by=[("k", "on")], query_id="q", candidate_id="c", name="name", bag="bag", cities=("city1", "city2"), addresses=("addr1", "addr2"), postcode_match=0.0, digits=digits)
+    pairs = q.join(d, F.col("k") == F.col("on"))
+    want = P.name_features(pairs, "bag", "name", "city1", "city2", ["q", "c"]).join(P.address_features(pairs.select("q", "c", "addr1", "addr2"), "addr1", "addr2"), ["q", "c"])
+    want = P.interactions(want.withColumn("address_density", F.lit(1)).withColumn("postcode_match", F.lit(0)))
+    want = want.select("q", "c", "name_count", *[F.round(x, digits).alias(x) if digits else x for x in N.PAIR_FEATURES])
+    have, should = ({r[:2]: r[2:] for r in df.collect()} for df in (got, want))
+    assert len(have) == got.count() and set(have) == set(should) and len(have) > 500
+    for key, row in should.items():
+        assert have[key] == (row if digits else pytest.approx(row, abs=1e-12)), key
+
+
+def test_features_multiply_no_pair(spark, sf, monkeypatch):
+    """A row was made for each name of each pair, and met the pair's address in a join."""
+    from concordat.plans import catalogue
+
+    monkeypatch.delattr(catalogue.P, "name_features")
+    f = registry.QUERIES["feature_vector"](spark, sf)
+    tree = f._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in tree and "posexplode" not in tree
+
+
+def test_like_queries_share_a_block(spark):
+    """One address of more queries than a block holds: each query meets every candidate once."""
+    q = spark.range(1300).select(F.col("id").alias("q"), F.lit(1).alias("k"), F.format_string("N%05d", "id").alias("name"), F.lit("LYON").alias("city"), F.lit("1 RUE A").alias("addr"))
+    d = spark.range(3).select(F.col("id").alias("c"), F.lit(1).alias("on"), F.expr("array(named_struct('text', 'N00001'), named_struct('text', 'N01'))").alias("bag"), F.lit("LYON").alias("city2"), F.lit("1 RUE B").alias("addr2"))
+    got = N.pair_features(q, d, by=[("k", "on")], query_id="q", candidate_id="c", name="name", bag="bag", cities=("city", "city2"), addresses=("addr", "addr2"), digits=6)
+    assert got.select("q", "c").distinct().count() == got.count() == 3900 and got.where("name_jaro_max = 1").count() == 3
+
+
+def test_rounding_is_sparks(spark):
+    x = [0.5, 0.0000005, 0.1234565, 0.9999995, 0.0000015, 9999.0, 0.0, 1.0, 0.12345649999999999, 2.6753725] + np.random.default_rng(1).random(200).tolist()
+    want = [r[0] for r in spark.createDataFrame([(v,) for v in x], "x double").select(F.round("x", 6)).collect()]
+    assert sorted(N.rounded(np.array(x), 6).tolist()) == sorted(want)
