@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -257,3 +258,48 @@ def test_induction_spills_and_recurses_at_its_own_bounds(monkeypatch):
                 assert bytes(t[last : last + 400].astype(">u2")) <= bytes(t[p : p + 400].astype(">u2"))
             last = p
     assert n == len(t) and len(levels) >= 2 and sum(spills) > 10
+
+
+def test_what_segments_share_goes_to_the_sort():
+    """Of the segments of an anchor, the widest stretch around it that another has alike; nothing where no string fits."""
+    rng, length = random.Random(4), 130
+    anchor = "".join(rng.choice("ab") for _ in range(64)).encode()
+    sides = [("".join(rng.choice("cd") for _ in range(40)) * 2).encode() for _ in range(2)]
+    rows = []
+    for i in range(40):
+        left, right = (bytes(rng.choice(b"xyz") if rng.random() < 0.02 else x for x in s[: rng.randrange(81)]) for s in sides)
+        rows.append((i // 20, f"{i}".encode(), 1 + i % 2, len(left), left[::-1] + anchor + right))
+    parts = [pa.RecordBatch.from_pylist([dict(zip("a c n off data".split(), r)) for r in rows[i : i + 7]]) for i in range(0, 40, 7)]
+    got = {r["c"]: r for part in suffixes.shared_extents(parts + parts[-1:], length) for r in part.to_pylist()}
+    some = 0
+    for a, c, n, off, data in rows:
+        alike = set()
+        for b, e, _, o, other in rows:
+            if b == a and e != c:
+                at = [s for s in range(len(data) - length + 1) if 0 <= s - off + o and data[s : s + length] == other[s - off + o : s - off + o + length]]
+                alike |= set(at)
+        if c in got:
+            r = got[c]
+            assert (r["a"], r["n"], r["off"]) == (a, n, off - r["shift"]) and r["data"] == data[r["shift"] :][: r["starts"] + length - 1]
+            assert alike <= set(range(r["shift"], r["shift"] + r["starts"]))
+            some += len(r["data"]) < len(data)
+        else:
+            assert not alike
+    assert some and 0 < len(got) < 40
+
+
+def test_equal_segments_are_not_sorted(spark, monkeypatch):
+    """What occurs as a whole more than once and meets nothing different needs no sort; all of it went there before."""
+
+    def sort(parts, length):
+        for part in parts:
+            if part.num_rows:
+                raise AssertionError("sorted")
+            yield part
+
+    monkeypatch.setattr(suffixes, "repeated_in_shard", sort)
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(3000)) for _ in range(4)]
+    df = spark.createDataFrame(list(enumerate(texts + texts[:3])), "doc_id long, text string")
+    got = suffixes.remove_repeats(df).orderBy("doc_id").select("repeats.*").collect()
+    assert [(r["n_bytes"], r["n_removed"], len(r["spans"]), hashlib.sha256(r["kept"]).hexdigest()) for r in got] == removed(texts + texts[:3], 400)
