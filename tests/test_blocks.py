@@ -97,6 +97,23 @@ def test_texts_are_tokenised_before_they_meet(spark, sf):
     assert "regexp_extract_all" not in registry.QUERIES["pairwise_jaccard"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_pairs_of_a_brand_whatever_the_size(spark, tmp_path):
+    """Only parts of the same size met, one pair in fifty of a brand."""
+    parts = [(1, "hot bolt", "A", "LARGE", 1), (2, "hot bolt", "A", "LARGE", 2), (3, "blue 7", "A", "SMALL", 3), (4, "hot bolt", "B", "LARGE", 1)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    got = registry.QUERIES["pairwise_jaccard"](spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == [(1, 2, 1.0, 0.0, 1), (1, 3, 0.0, 0.0, 0), (2, 3, 0.0, 0.0, 0)]
+
+
+def test_pairs_of_texts_are_dealt_out(spark):
+    """Texts of more rows than a piece, blocks of more than a deal, keys that repeat, blocks and keys that are null."""
+    rows = [(i % 40, "ab"[i % 2], f"T{i % 3}") for i in range(90)] + [(7, None, "T0"), (None, "a", "T1")]
+    df = spark.createDataFrame(rows, "k int, b string, t string")
+    got = N.text_pairs(df, by="b", key="k", text="t", own={"u": F.lower}, features=lambda a, b: [F.concat(a("u"), b("t")).alias("f")], piece=4, rows_a_deal=10)
+    want = sorted((x[0], y[0], x[2].lower() + y[2]) for x in rows[:90] for y in rows[:90] if x[1] == y[1] and x[0] < y[0])
+    assert sorted(map(tuple, got.collect())) == want
+
+
 @pytest.mark.parametrize("digits", [None, 6])
 def test_pair_features_against_every_pair(spark, digits):
     """Names of any length, candidates with no, one or many names, names like a city, equal and empty ones."""
