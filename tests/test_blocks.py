@@ -159,3 +159,31 @@ def test_rounding_is_sparks(spark):
     x = [0.5, 0.0000005, 0.1234565, 0.9999995, 0.0000015, 9999.0, 0.0, 1.0, 0.12345649999999999, 2.6753725] + np.random.default_rng(1).random(200).tolist()
     want = [r[0] for r in spark.createDataFrame([(v,) for v in x], "x double").select(F.round("x", 6)).collect()]
     assert sorted(N.rounded(np.array(x), 6).tolist()) == sorted(want)
+
+
+@pytest.mark.parametrize("longest,codes", [(40, 1 << 20), (40, 10), (70, 1 << 20)])
+def test_scores_of_all_pairs(spark, longest, codes, monkeypatch):
+    """Every pair once, with the similarities and the boosted score that Spark gives it."""
+    monkeypatch.setattr(N, "_CODES", codes)
+    names = [x for x in _names(3, 120) if len(x) <= longest]
+    q = spark.createDataFrame([(i, i % 2, x) for i, x in enumerate(names[:60])], "q long, k int, q_name string")
+    d = spark.createDataFrame([(i, i % 3, x) for i, x in enumerate([*names[40:], None])], "c long, on int, name string")
+    sides = dict(queries=q, candidates=d, by=[("k", "on")], query_id="q", candidate_id="c", query_name="q_name", name="name")
+    text = F.coalesce("name", F.lit(""))
+    pairs = S.with_jaro_winkler(q.join(d, F.col("k") == F.col("on")), "q_name", "name", "jw").withColumn("lev", S.levenshtein_ratio(F.col("q_name"), text))
+    kinds = N.pair_kinds(**sides)
+    want = {r[:2]: r[2] for r in pairs.groupBy("jw", "lev").count().collect()}
+    assert {r[:2]: r[2] for r in kinds.collect()} == want and kinds.count() == len(want)
+    model = P.fit_boosted(kinds.withColumn("label", (F.col("jw") + F.col("lev") > 0.9).cast("int")), ["jw", "lev"], rounds=3, depth=3)
+    got = N.pair_scores(**sides, score=P.boosted_arrays(model), digits=6)
+    should = {(r["q"], r["c"]): round(r["score"], 6) for r in P.boosted_score(model, pairs).select("q", "c", "score").collect()}
+    have = {(r["q"], r["c"]): r["score"] for r in got.collect()}
+    assert got.count() == len(have) == len(should) and len(set(should.values())) > 3 and have == pytest.approx(should, abs=1.1e-6)
+
+
+def test_boosted_scores_list_no_pair(spark, sf, monkeypatch):
+    """Every pair's similarity was worked out in a row of its own, twice."""
+    from concordat.plans import catalogue
+
+    monkeypatch.delattr(catalogue, "_scored")
+    assert "FlatMapCoGroupsInArrow" in registry.QUERIES["gbt_scorer"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
