@@ -202,3 +202,25 @@ def test_trees_are_fitted_on_different_rows(spark, sf, monkeypatch):
     monkeypatch.setattr(P, "fit_boosted", fit)
     n = registry.QUERIES["gbt_scorer"](spark, sf).count()
     assert seen[0][0] < n == seen[0][1]
+
+
+def test_rescued_sites_come_once_from_their_join(spark):
+    """Rescued pairs, most of a pool, were made distinct and grouped with the others, in the plan that had all channels."""
+    from concordat.operators.pool import rescues
+    from concordat.plans.config import RetrievalConfig
+
+    sides = "block string, id long, name string, number string, street string"
+    names = ["A 1 2", "B 2 1", "C 3", "D", "E 1", None]
+    rows = [("x" if i % 3 else "y", i, names[i % 6], str(i % 4), ["rue a", "rue b", None][i % 5 % 3]) for i in range(60)]
+    df = spark.createDataFrame(rows, sides)
+    q, s = df.withColumnRenamed("id", "query_id"), df.withColumnRenamed("id", "siret")
+    found = spark.createDataFrame([(i, j) for i in range(0, 60, 2) for j in range(20)], "query_id long, siret long")
+    have = {tuple(r) for r in found.collect()}
+    out = rescues(q, s, found, RetrievalConfig())
+    number = lambda r: {x for x in (r[2] or "").split() if x.isdigit()}
+    like = lambda a, b: bool(number(a) & number(b)) or bool(a[4] and a[3:] == b[3:])
+    want = sorted((a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and like(a, b) and (a[1], b[1]) not in have)
+    assert sorted(map(tuple, out.collect())) == want and len(want) > 300
+    tree = out._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[0]
+    assert "Aggregate" not in tree and "Repartition" not in tree
+    assert rescues(q, s, found, RetrievalConfig(rescue_numeric=False, rescue_address=False)).count() == 0
