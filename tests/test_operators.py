@@ -224,3 +224,11 @@ def test_rescued_sites_come_once_from_their_join(spark):
     tree = out._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[0]
     assert "Aggregate" not in tree and "Repartition" not in tree
     assert rescues(q, s, found, RetrievalConfig(rescue_numeric=False, rescue_address=False)).count() == 0
+
+
+def test_features_of_classes_are_rounded_once(spark, sf):
+    """Every feature was rounded on every pair, also those that pairs look up."""
+    from concordat.plans import registry
+
+    tree = registry.QUERIES["feature_model"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.split("Join Inner")[0].count("round(") <= 12
